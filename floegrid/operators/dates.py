@@ -169,8 +169,9 @@ def group_inputs_by_date(inputs: DataFrame, time: Column, max_date: Column | Non
 
     The date stays a column, so one job mosaics every date.
     """
-    dated = inputs.withColumn("acq_date", F.to_date(time)).where(F.col("acq_date").isNotNull())
-    return dated if max_date is None else dated.where(F.col("acq_date") <= max_date)
+    dated = inputs.withColumn("acq_date", F.to_date(time))
+    known = F.col("acq_date").isNotNull() if max_date is None else F.col("acq_date") <= max_date
+    return dated.where(known)
 
 
 def expire_before(table: DataFrame, cutoff: Column, time_end: str = "time_end") -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from floegrid.operators.mosaic import CELL, SLICE
 
 TILE_COLUMNS = ["ty", "tx", "h", "w", "data"]
+# Values per batch handed back to Spark: a few large tiles or many small ones.
+FLUSH_VALUES = 1 << 22
 _NUMPY = {"float": np.float32, "double": np.float64}
 
 
@@ -40,24 +42,29 @@ def assemble_tiles(cells: DataFrame, tile: int, keys: Sequence[str] = SLICE,
     With a grid height and width, edge tiles are cut to the grid.
     """
     row, col = cell
-    keyed = cells.select(*keys, F.expr(f"int({row} div {tile})").alias("ty"),
-                         F.expr(f"int({col} div {tile})").alias("tx"),
-                         F.expr(f"int({row} % {tile})").alias("_r"),
-                         F.expr(f"int({col} % {tile})").alias("_c"), F.col(value).cast(dtype).alias("_v"))
-    schema = _schema(cells, keys, dtype)
-    names = list(keys)
+    h = F.lit(tile) if height is None else F.least(F.lit(tile), F.lit(height) - F.col("ty") * tile)
+    w = F.lit(tile) if width is None else F.least(F.lit(tile), F.lit(width) - F.col("tx") * tile)
     np_type = _NUMPY[dtype]
 
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        ty, tx = int(pdf["ty"].iat[0]), int(pdf["tx"].iat[0])
-        h = tile if height is None else min(tile, height - ty * tile)
-        w = tile if width is None else min(tile, width - tx * tile)
-        data = np.full((h, w), np.nan, dtype=np_type)
-        data[pdf["_r"].to_numpy(), pdf["_c"].to_numpy()] = pdf["_v"].to_numpy(dtype=np_type)
-        head = {k: [pdf[k].iat[0]] for k in names}
-        return pd.DataFrame({**head, "ty": [ty], "tx": [tx], "h": [h], "w": [w], "data": [_cut(data)]})
+    @F.pandas_udf(f"array<{dtype}>")
+    def scatter(at: pd.Series, values: pd.Series, size: pd.Series) -> pd.Series:
+        out = []
+        for i, v, n in zip(at, values, size):
+            data = np.full(n, np.nan, dtype=np_type)
+            data[i] = v
+            out.append(data)
+        return pd.Series(out)
+    placed = cells.select(*keys, F.expr(f"int({row} div {tile})").alias("ty"),
+                          F.expr(f"int({col} div {tile})").alias("tx"),
+                          F.expr(f"int({row} % {tile})").alias("_r"),
+                          F.expr(f"int({col} % {tile})").alias("_c"), F.col(value).cast(dtype).alias("_v"))
     # A group is one tile: never more than tile x tile cells.
-    return keyed.groupBy(*keys, "ty", "tx").applyInPandas(build, schema)
+    grouped = (placed.where(F.col("_v").isNotNull()).groupBy(*keys, "ty", "tx")
+               .agg(F.collect_list(F.struct("_r", "_c", "_v")).alias("_cells"))
+               .withColumns({"h": h.cast("int"), "w": w.cast("int")}))
+    at = F.transform("_cells", lambda c: c["_r"] * F.col("w") + c["_c"])
+    return grouped.select(*keys, "ty", "tx", "h", "w",
+                          scatter(at, F.col("_cells")["_v"], F.col("h") * F.col("w")).alias("data"))
 
 
 def explode_tiles(tiles: DataFrame, tile: int, keys: Sequence[str] = SLICE) -> DataFrame:
@@ -104,7 +111,7 @@ def retile(tiles: DataFrame, tile: int, to: int, height: int, width: int, keys:
                         full = np.full((h, w), np.nan, dtype=np.float32)
                         full[a - ty * to:b - ty * to, c - tx * to:d - tx * to] = piece
                         out.append([*[r[k] for k in names], ty, tx, h, w, _cut(full)])
-                if len(out) >= 8:
+                if len(out) * to * to >= FLUSH_VALUES:
                     yield pd.DataFrame(out, columns=[*names, *TILE_COLUMNS])
                     out = []
             if out:
@@ -137,7 +144,7 @@ def _fold(tiles: DataFrame, keys: list[str], carry: list[str], order: str) -> Da
                 else:
                     np.copyto(acc, data, where=~np.isnan(data))
                 last = pdf[order].iat[i]
-                if len(done) >= 8:
+                if len(done) * data.size >= FLUSH_VALUES:
                     yield pd.DataFrame(done, columns=columns)
                     done = []
         if held is not None:

@@ -16,6 +16,8 @@ METHODS = ("near", "bilinear")
 # A weight table up to this size is broadcast; its rows are bounded by the target grid.
 BROADCAST_BYTES = 256 << 20
 _ROW_BYTES = 40
+# Weights below this are rounding noise of a target centre that falls on a source centre.
+NOISE = 1e-9
 
 
 def source_position(x: Column, y: Column, src: Grid, dst: Grid) -> tuple[Column, Column]:
@@ -57,7 +59,7 @@ def warp_weights(spark: SparkSession, src: Grid, dst: Grid, method: str = "bilin
         return F.struct((r0 + dr).cast("int").alias("src_row"), c.cast("int").alias("src_col"),
                         w.alias("w"))
     taps = F.filter(F.array(tap(0, 0), tap(0, 1), tap(1, 0), tap(1, 1)), lambda t: (
-        (t["w"] > 0) & (t["src_row"] >= 0) & (t["src_row"] < src.height)
+        (t["w"] > NOISE) & (t["src_row"] >= 0) & (t["src_row"] < src.height)
         & (t["src_col"] >= 0) & (t["src_col"] < src.width)))
     return at.select("row", "col", F.inline(taps))
 
@@ -121,7 +123,7 @@ def lut_cells(lut: DataFrame, keys: Sequence[str] = LUT_KEYS) -> DataFrame:
 
 
 def lut_join(pixels: DataFrame, lut: DataFrame, height: int, width: int,
-             keys: Sequence[str] = LUT_KEYS, on: Sequence[str] = ("granule",), block: int = 256) -> DataFrame:
+             keys: Sequence[str] = LUT_KEYS, block: int = 256) -> DataFrame:
     """Pixels with the bilinear `k` of each calibration table of their granule.
 
     A range join made equal: every table cell is repeated for the pixel blocks it covers, and
@@ -146,6 +148,7 @@ def lut_join(pixels: DataFrame, lut: DataFrame, height: int, width: int,
     fy = (F.col("row") - F.col("line")) / (F.col("line1") - F.col("line"))
     fx = (F.col("col") - F.col("pixel")) / (F.col("pixel1") - F.col("pixel"))
     k = bilinear(F.col("k00"), F.col("k01"), F.col("k10"), F.col("k11"), fy, fx)
+    on = [c for c in keys if c in pixels.columns]
     extra = [c for c in keys if c not in pixels.columns]
     return (looked.join(keyed, [*on, "_br", "_bc"]).where(inside)
             .select(*pixels.columns, *extra, k.alias("k")))

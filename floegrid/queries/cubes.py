@@ -121,7 +121,7 @@ def upsert_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("retile", MOSAIC_SQL + """
 SELECT collection, acq_date, CAST(row_ // 32 AS INTEGER) AS ty, CAST(col_ // 32 AS INTEGER) AS tx, count(*) AS n,
-  CAST(sum(value * ((row_ % 32) * 32 + col_ % 32)) AS BIGINT) AS checksum
+  CAST(sum(CAST(round(value * 100) AS BIGINT) * ((row_ % 32) * 32 + col_ % 32)) AS BIGINT) AS checksum
 FROM m GROUP BY collection, acq_date, row_ // 32, col_ // 32""")
 def retile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cells to 32 x 32 tiles and back, summarised by position."""
@@ -130,7 +130,7 @@ def retile(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = explode_tiles(tiles, 32, keys=["collection", "acq_date", "ty", "tx"])
     idx = (F.col("row") % 32) * 32 + F.col("col") % 32
     return back.groupBy("collection", "acq_date", "ty", "tx").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col("value") * idx).cast("long").alias("checksum"))
+        F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("value") * 100).cast("long") * idx).alias("checksum"))
 
 
 @query("sync_cube", MOSAIC_SQL + """,

@@ -183,15 +183,15 @@ def union_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.granule_counts(reduce(DataFrame.unionByName, parts), ["collection", "acq_date"])
 
 
-@query("group_inputs_by_date", f"""WITH {cte('name_b')},
-d AS (SELECT CAST(try_strptime(nullif(regexp_extract(name_, '_(\\d{{8}})_daily_COG', 1), ''), '%Y%m%d') AS DATE) AS acq_date
-  FROM name_b WHERE event_id % 8 = 5)
-SELECT acq_date, count(*) AS n FROM d WHERE acq_date <= DATE '2024-01-20' GROUP BY acq_date""")
+@query("group_inputs_by_date", f"""{L},
+d AS (SELECT collection, CAST(try_strptime(nullif(regexp_extract(key_, '_(\\d{{8}})_daily_COG', 1), ''), '%Y%m%d') AS DATE) AS acq_date
+  FROM listing_b)
+SELECT collection, acq_date, count(*) AS n FROM d WHERE acq_date <= DATE '2024-01-20' GROUP BY ALL""")
 def group_inputs_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inputs = bind(spark, sf_dir, "name_b").where("event_id % 8 = 5")
-    time = N.acq_time(F.col("name_"), regex=r"_(?P<start_date>\d{8})_daily_COG")
+    inputs = listing(spark, sf_dir).select("collection", "key_")
+    time = N.acq_time(F.col("key_"), regex=r"_(?P<start_date>\d{8})_daily_COG")
     dated = D.group_inputs_by_date(inputs, time, F.lit("2024-01-20").cast("date"))
-    return D.granule_counts(dated, ["acq_date"])
+    return D.granule_counts(dated, ["collection", "acq_date"])
 
 
 @query("expire_before", f"""WITH {cte('wind_b')}

@@ -42,7 +42,7 @@ t AS (SELECT row, col, CAST(r0 + dr AS INTEGER) AS sr, CAST((c0 + dc + 76) % 76
   * (CASE WHEN dc = 1 THEN fc - 0.5 - c0 ELSE 1 - (fc - 0.5 - c0) END) AS w
   FROM b, (SELECT unnest([0, 0, 1, 1]) AS dr, unnest([0, 1, 0, 1]) AS dc))
 SELECT s.collection, t.row, t.col, round(sum(t.w * s.value) / sum(t.w), 5) AS value FROM t
-JOIN l0 s ON s.row_ = t.sr AND s.col_ = t.sc WHERE t.w > 0 GROUP BY ALL""")
+JOIN l0 s ON s.row_ = t.sr AND s.col_ = t.sc WHERE t.w > 1e-9 GROUP BY ALL""")
 def warp_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = W.warp(source(spark, sf_dir), SRC, DST, "bilinear", keys=["collection"])
     return out.withColumn("value", F.round("value", 5))
