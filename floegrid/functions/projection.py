@@ -44,14 +44,19 @@ EPSG3413 = PolarCrs("EPSG:3413", 6378137.0, 1 / 298.257223563)
 EPSG3411 = PolarCrs("EPSG:3411", 6378273.0, 1 - 6356889.449 / 6378273.0)
 
 
-def to_polar(lon: Column, lat: Column, crs: PolarCrs = EPSG3413) -> tuple[Column, Column]:
-    """Map x and y in metres of a longitude and latitude in degrees."""
+def polar_coords(lon: Column, lat: Column, crs: PolarCrs = EPSG3413) -> Column:
+    """Struct of map radius `rho` in metres and angle `lam` in radians from the central meridian."""
     phi = F.radians(lat)
     s = F.lit(crs.e) * F.sin(phi)
     t = F.tan(F.lit(math.pi / 4) - phi / 2) / F.pow((1 - s) / (1 + s), F.lit(crs.e / 2))
-    rho = F.lit(crs.rho_per_t) * t
-    lam = F.radians(lon - F.lit(crs.lon_0))
-    return rho * F.sin(lam), -rho * F.cos(lam)
+    return F.struct((F.lit(crs.rho_per_t) * t).alias("rho"),
+                    F.radians(lon - F.lit(crs.lon_0)).alias("lam"))
+
+
+def to_polar(lon: Column, lat: Column, crs: PolarCrs = EPSG3413) -> tuple[Column, Column]:
+    """Map x and y in metres of a longitude and latitude in degrees."""
+    q = polar_coords(lon, lat, crs)
+    return q["rho"] * F.sin(q["lam"]), -q["rho"] * F.cos(q["lam"])
 
 
 def to_lonlat(x: Column, y: Column, crs: PolarCrs = EPSG3413) -> tuple[Column, Column]:
