@@ -16,6 +16,7 @@ from floegrid.functions.fields import valid
 from floegrid.functions.grids import cell_offset
 from floegrid.operators.dates import keep_dates, newest_dates, sync_diff
 from floegrid.operators.stats import slice_stats, union_bounds, union_grid
+from floegrid.session import checkpoint_dir
 
 PARTITION = ["collection", "acq_date", "slice"]
 GRID_COLUMNS = ["west", "south", "east", "north", "resolution", "width", "height", "crs", "nodata"]
@@ -163,7 +164,9 @@ class Cube:
         A time without data gets a slice row all the same. The rebalance hint lets the
         runtime split a slice that holds most of the data over many tasks and files.
         """
-        named = times.select("collection", "acq_time").distinct()
+        # A few values per slice, pinned: what they derive from may be overwritten below.
+        checkpoint_dir(self.spark)
+        named = times.select("collection", "acq_time").distinct().checkpoint()
 
         def keyed(frame: DataFrame) -> DataFrame:
             return frame.withColumns({"acq_date": F.to_date("acq_time"),
@@ -240,7 +243,8 @@ class Cube:
                                .join(moved.select("acq_time").distinct(), "acq_time", "left_anti"))
             painted = moved.join(times.distinct(), ["collection", "acq_time"], "left_anti"
                                  ).unionByName(painted)
-            times = moved.select("collection", "acq_time").unionByName(times)
+            checkpoint_dir(self.spark)
+            times = (moved.select("collection", "acq_time").unionByName(times).distinct().checkpoint())
             self.write_slices(painted, times)
             written = set(self._dates(times.withColumn("acq_date", F.to_date("acq_time"))))
             self.drop_dates(collection, [d for d in gone if d not in written])
