@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from floegrid.functions.grids import Grid
+from floegrid.functions.grids import ARCTIC_10KM, SEA_ICE_SOURCE, Grid
+from floegrid.functions.projection import EPSG3411
 from floegrid.operators import mosaic as M, tiles as T, warp as W
-from floegrid.plans.bindings import bind, cte
-from floegrid.plans.sql_forms import lonlat
+from floegrid.plans.bindings import bind, cte, read_table
+from floegrid.plans.sql_forms import lonlat, polar_xy
 from floegrid.queries import query
 from floegrid.queries.pixels import ORDER, RC, _DENSE_SQL, dense_mosaic
 
@@ -120,3 +121,35 @@ def calibrate_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
                      ["granule", "calibration", "row", "col"])
     return both.groupBy("granule", "calibration").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.abs(F.col("value") - F.col("want")) < 1e-4).alias("n_close"))
+
+
+# The sea-ice source grid (Hughes ellipsoid) onto the 10 km target grid, full size.
+_FIELD = ("CAST((l_orderkey * 7919 + l_linenumber) % 1120 AS INT) AS row_",
+          "CAST((l_partkey * 104729 + l_suppkey * 13) % 760 AS INT) AS col_", "l_quantity AS value")
+_LON10, _LAT10 = lonlat("x", "y")
+_SX, _SY = polar_xy("lon", "lat", EPSG3411)
+
+
+@query("warp_sea_ice_grid", f"""
+WITH s AS (SELECT row_, col_, max(value) AS value FROM (SELECT {', '.join(_FIELD)} FROM lineitem) GROUP BY ALL),
+d AS (SELECT CAST(i // 760 AS INTEGER) AS row, CAST(i % 760 AS INTEGER) AS col, -3850000 + (i % 760 + 0.5) * 10000 AS x,
+  5850000 - (i // 760 + 0.5) * 10000 AS y FROM (SELECT unnest(range(851200)) AS i)),
+g AS (SELECT row, col, {_LON10} AS lon, {_LAT10} AS lat FROM d),
+f AS (SELECT row, col, (5850000 - {_SY}) / 10000 AS fr, ({_SX} + 3850000) / 10000 AS fc FROM g),
+b AS (SELECT *, floor(fr - 0.5) AS r0, floor(fc - 0.5) AS c0 FROM f WHERE fr >= 0 AND fr < 1120 AND fc >= 0 AND fc < 760),
+t AS (SELECT row, col, CAST(r0 + dr AS INTEGER) AS sr, CAST(c0 + dc AS INTEGER) AS sc,
+  (CASE WHEN dr = 1 THEN fr - 0.5 - r0 ELSE 1 - (fr - 0.5 - r0) END)
+  * (CASE WHEN dc = 1 THEN fc - 0.5 - c0 ELSE 1 - (fc - 0.5 - c0) END) AS w
+  FROM b, (SELECT unnest([0, 0, 1, 1]) AS dr, unnest([0, 1, 0, 1]) AS dc)),
+o AS (SELECT t.row, t.col, sum(t.w * s.value) / sum(t.w) AS value FROM t
+  JOIN s ON s.row_ = t.sr AND s.col_ = t.sc WHERE t.w > 1e-9 GROUP BY ALL)
+SELECT CAST(row // 40 AS INTEGER) AS row_band, count(*) AS n, round(avg(value), 4) AS mean_value,
+  round(min(value), 4) AS min_value, round(max(value), 4) AS max_value FROM o GROUP BY ALL""")
+def warp_sea_ice_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All 851,200 target cells, summarised by bands of 40 rows."""
+    field = (read_table(spark, sf_dir, "lineitem").selectExpr(*_FIELD)
+             .groupBy(F.col("row_").alias("row"), F.col("col_").alias("col")).agg(F.max("value").alias("value")))
+    out = W.warp(field, SEA_ICE_SOURCE, ARCTIC_10KM, "bilinear", keys=[])
+    return out.groupBy(F.expr("int(row div 40)").alias("row_band")).agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("value"), 4).alias("mean_value"),
+        F.round(F.min("value"), 4).alias("min_value"), F.round(F.max("value"), 4).alias("max_value"))
