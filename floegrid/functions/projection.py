@@ -9,7 +9,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 @dataclass(frozen=True)
@@ -59,15 +59,47 @@ def to_polar(lon: Column, lat: Column, crs: PolarCrs = EPSG3413) -> tuple[Column
     return q["rho"] * F.sin(q["lam"]), -q["rho"] * F.cos(q["lam"])
 
 
-def to_lonlat(x: Column, y: Column, crs: PolarCrs = EPSG3413) -> tuple[Column, Column]:
-    """Longitude (-180..180) and latitude in degrees of map x and y."""
+def _conformal(x: Column, y: Column, crs: PolarCrs) -> Column:
+    return F.lit(math.pi / 2) - 2 * F.atan(F.hypot(x, y) / F.lit(crs.rho_per_t))
+
+
+def _latitude(chi: Column, crs: PolarCrs) -> Column:
+    """Geodetic from conformal latitude, four terms of the series."""
     e2 = crs.e2
     e4, e6, e8 = e2 ** 2, e2 ** 3, e2 ** 4
-    chi = F.lit(math.pi / 2) - 2 * F.atan(F.hypot(x, y) / F.lit(crs.rho_per_t))
-    phi = (chi
-           + F.lit(e2 / 2 + 5 * e4 / 24 + e6 / 12 + 13 * e8 / 360) * F.sin(2 * chi)
-           + F.lit(7 * e4 / 48 + 29 * e6 / 240 + 811 * e8 / 11520) * F.sin(4 * chi)
-           + F.lit(7 * e6 / 120 + 81 * e8 / 1120) * F.sin(6 * chi)
-           + F.lit(4279 * e8 / 161280) * F.sin(8 * chi))
+    return (chi
+            + F.lit(e2 / 2 + 5 * e4 / 24 + e6 / 12 + 13 * e8 / 360) * F.sin(2 * chi)
+            + F.lit(7 * e4 / 48 + 29 * e6 / 240 + 811 * e8 / 11520) * F.sin(4 * chi)
+            + F.lit(7 * e6 / 120 + 81 * e8 / 1120) * F.sin(6 * chi)
+            + F.lit(4279 * e8 / 161280) * F.sin(8 * chi))
+
+
+def _longitude(x: Column, y: Column, crs: PolarCrs) -> Column:
     lon = F.degrees(F.atan2(x, -y)) + F.lit(crs.lon_0)
-    return F.when(lon < -180, lon + 360).when(lon > 180, lon - 360).otherwise(lon), F.degrees(phi)
+    return F.when(lon < -180, lon + 360).when(lon > 180, lon - 360).otherwise(lon)
+
+
+def to_lonlat(x: Column, y: Column, crs: PolarCrs = EPSG3413) -> tuple[Column, Column]:
+    """Longitude (-180..180) and latitude in degrees of map x and y."""
+    return _longitude(x, y, crs), F.degrees(_latitude(_conformal(x, y, crs), crs))
+
+
+def with_lonlat(frame: DataFrame, x: str, y: str, lon: str = "lon", lat: str = "lat",
+                crs: PolarCrs = EPSG3413) -> DataFrame:
+    """Add longitude and latitude columns step by step.
+
+    The series uses the conformal latitude many times; as a column of its own it is computed
+    once per row.
+    """
+    conformal = frame.withColumn("_chi", _conformal(F.col(x), F.col(y), crs))
+    return conformal.withColumns({
+        lon: _longitude(F.col(x), F.col(y), crs), lat: F.degrees(_latitude(F.col("_chi"), crs))}).drop("_chi")
+
+
+def with_polar(frame: DataFrame, lon: str, lat: str, x: str = "x", y: str = "y",
+               crs: PolarCrs = EPSG3413) -> DataFrame:
+    """Add map columns step by step, sharing radius and angle."""
+    q = polar_coords(F.col(lon), F.col(lat), crs)
+    shared = frame.withColumns({"_rho": q["rho"], "_lam": q["lam"]})
+    return shared.withColumns({x: F.col("_rho") * F.sin("_lam"), y: -F.col("_rho") * F.cos("_lam")}
+                              ).drop("_rho", "_lam")

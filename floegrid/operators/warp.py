@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from floegrid.functions.fields import valid
 from floegrid.functions.grids import Grid, cell_center
-from floegrid.functions.projection import to_lonlat, to_polar
+from floegrid.functions.projection import with_lonlat, with_polar
 from floegrid.functions.radiometry import bilinear
 from floegrid.operators.mosaic import SLICE
 
@@ -20,12 +20,21 @@ _ROW_BYTES = 40
 NOISE = 1e-9
 
 
-def source_position(x: Column, y: Column, src: Grid, dst: Grid) -> tuple[Column, Column]:
-    """Source coordinates of a target map position."""
-    if src.crs == dst.crs:
-        return x, y
-    lon, lat = to_lonlat(x, y, dst.polar)
-    return (lon, lat) if src.polar is None else to_polar(lon, lat, src.polar)
+def source_position(cells: DataFrame, src: Grid, dst: Grid) -> DataFrame:
+    """Target cells (row, col) with fractional source position `fr`, `fc`, corner-based.
+
+    Each step is its own projection, so the trigonometry is done once per cell.
+    """
+    x, y = cell_center(F.col("row"), F.col("col"), dst)
+    at = cells.withColumns({"_x": x, "_y": y})
+    if src.crs != dst.crs:
+        at = with_lonlat(at, "_x", "_y", "_lon", "_lat", dst.polar)
+        if src.polar is None:
+            at = at.withColumns({"_x": F.col("_lon"), "_y": F.col("_lat")})
+        else:
+            at = with_polar(at, "_lon", "_lat", "_x", "_y", src.polar)
+    return at.select("row", "col", ((F.lit(src.north) - F.col("_y")) / F.lit(src.res_y)).alias("fr"),
+                     ((F.col("_x") - F.lit(src.west)) / F.lit(src.res_x)).alias("fc"))
 
 
 def warp_weights(spark: SparkSession, src: Grid, dst: Grid, method: str = "bilinear") -> DataFrame:
@@ -39,29 +48,33 @@ def warp_weights(spark: SparkSession, src: Grid, dst: Grid, method: str = "bilin
         raise ValueError(f"unknown resampling {method!r}; valid: {METHODS}")
     cells = spark.range(dst.n_cells).select(
         F.expr(f"int(id div {dst.width})").alias("row"), F.expr(f"int(id % {dst.width})").alias("col"))
-    sx, sy = source_position(*cell_center(F.col("row"), F.col("col"), dst), src, dst)
-    at = cells.select("row", "col", ((F.lit(src.north) - sy) / F.lit(src.res_y)).alias("fr"),
-                      ((sx - F.lit(src.west)) / F.lit(src.res_x)).alias("fc"))
+    at = source_position(cells, src, dst)
     wraps = src.polar is None and abs(src.width * src.res_x - 360.0) < 1e-6
     if wraps:
         at = at.withColumn("fc", F.pmod("fc", F.lit(float(src.width))))
-    at = at.where((F.col("fr") >= 0) & (F.col("fr") < src.height)
-                  & (F.col("fc") >= 0) & (F.col("fc") < src.width))
+    inside = ((F.col("fr") >= 0) & (F.col("fr") < src.height)
+              & (F.col("fc") >= 0) & (F.col("fc") < src.width))
     if method == "near":
-        return at.select("row", "col", F.floor("fr").cast("int").alias("src_row"),
-                         F.floor("fc").cast("int").alias("src_col"), F.lit(1.0).alias("w"))
-    r0, c0 = F.floor(F.col("fr") - 0.5), F.floor(F.col("fc") - 0.5)
-    fy, fx = F.col("fr") - 0.5 - r0, F.col("fc") - 0.5 - c0
-
-    def tap(dr: int, dc: int) -> Column:
-        w = (fy if dr else 1 - fy) * (fx if dc else 1 - fx)
-        c = F.pmod(c0 + dc, F.lit(src.width)) if wraps else c0 + dc
-        return F.struct((r0 + dr).cast("int").alias("src_row"), c.cast("int").alias("src_col"),
-                        w.alias("w"))
-    taps = F.filter(F.array(tap(0, 0), tap(0, 1), tap(1, 0), tap(1, 1)), lambda t: (
-        (t["w"] > NOISE) & (t["src_row"] >= 0) & (t["src_row"] < src.height)
-        & (t["src_col"] >= 0) & (t["src_col"] < src.width)))
-    return at.select("row", "col", F.inline(taps))
+        tap = F.struct(F.floor("fr").cast("int").alias("src_row"), F.floor("fc").cast("int").alias("src_col"),
+                       F.lit(1.0).alias("w"))
+        # A position outside gives no row. Generating it away keeps the test above the
+        # trigonometry; a filter would be pushed below and repeat it.
+        return at.select("row", "col", F.inline(F.when(inside, F.array(tap))))
+    at = at.withColumns({"_r0": F.floor(F.col("fr") - 0.5), "_c0": F.floor(F.col("fc") - 0.5),
+                         "_in": inside})
+    at = at.withColumns({"_fy": F.col("fr") - 0.5 - F.col("_r0"), "_fx": F.col("fc") - 0.5 - F.col("_c0")})
+
+    def corner(dr: int, dc: int) -> Column:
+        wy = F.col("_fy") if dr else 1 - F.col("_fy")
+        wx = F.col("_fx") if dc else 1 - F.col("_fx")
+        c = F.col("_c0") + dc
+        return F.struct((F.col("_r0") + dr).cast("int").alias("src_row"),
+                        (F.pmod(c, F.lit(src.width)) if wraps else c).cast("int").alias("src_col"),
+                        (wy * wx).alias("w"))
+    taps = at.select("row", "col", F.inline(F.when(
+        F.col("_in"), F.array(corner(0, 0), corner(0, 1), corner(1, 0), corner(1, 1)))))
+    return taps.where((F.col("w") > NOISE) & (F.col("src_row") >= 0) & (F.col("src_row") < src.height)
+                      & (F.col("src_col") >= 0) & (F.col("src_col") < src.width))
 
 
 def weights_table(spark: SparkSession, path: str, src: Grid, dst: Grid, method: str) -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from floegrid.functions.grids import Grid, cell_center, snap_extent
 from floegrid.operators import cube as C, stats as S
 from floegrid.operators.dates import retain_newest
+from floegrid.operators.mosaic import mosaic
+from floegrid.operators.tiles import assemble_tiles, explode_tiles
 from floegrid.plans.bindings import bind, cte
 from floegrid.queries import query
 from floegrid.queries.pixels import MOSAIC_SQL, RC, valid_mosaic
@@ -119,17 +121,23 @@ def upsert_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.upsert_modes(new, old, ["satellite"]).select("satellite", "acq_date", "mode")
 
 
-@query("retile", MOSAIC_SQL + """
-SELECT collection, acq_date, CAST(row_ // 32 AS INTEGER) AS ty, CAST(col_ // 32 AS INTEGER) AS tx, count(*) AS n,
+@query("retile", f"""
+WITH {cte('cell_b')},
+m AS (SELECT collection, month, row_, col_, value FROM (
+  SELECT *, CAST(date_trunc('month', acq_date) AS DATE) AS month, row_number() OVER (
+    PARTITION BY collection, date_trunc('month', acq_date), row_, col_
+    ORDER BY acq_date DESC, k1 DESC, k2 DESC, k3 DESC, k4 DESC) AS r FROM cell_b) WHERE r = 1)
+SELECT collection, month, CAST(row_ // 32 AS INTEGER) AS ty, CAST(col_ // 32 AS INTEGER) AS tx, count(*) AS n,
   CAST(sum(CAST(round(value * 100) AS BIGINT) * ((row_ % 32) * 32 + col_ % 32)) AS BIGINT) AS checksum
-FROM m GROUP BY collection, acq_date, row_ // 32, col_ // 32""")
+FROM m GROUP BY collection, month, row_ // 32, col_ // 32""")
 def retile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cells to 32 x 32 tiles and back, summarised by position."""
-    from floegrid.operators.tiles import assemble_tiles, explode_tiles
-    tiles = assemble_tiles(valid_mosaic(spark, sf_dir), 32, cell=RC, dtype="double")
-    back = explode_tiles(tiles, 32, keys=["collection", "acq_date", "ty", "tx"])
+    """Monthly cells to 32 x 32 tiles and back, summarised by position."""
+    monthly = bind(spark, sf_dir, "cell_b").withColumn("month", F.trunc("acq_date", "month"))
+    m = mosaic(monthly, ["acq_date", "k1", "k2", "k3", "k4"], keys=["collection", "month"], cell=RC)
+    tiles = assemble_tiles(m, 32, keys=["collection", "month"], cell=RC, dtype="double")
+    back = explode_tiles(tiles, 32, keys=["collection", "month", "ty", "tx"])
     idx = (F.col("row") % 32) * 32 + F.col("col") % 32
-    return back.groupBy("collection", "acq_date", "ty", "tx").agg(
+    return back.groupBy("collection", "month", "ty", "tx").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("value") * 100).cast("long") * idx).alias("checksum"))
 
 

@@ -91,15 +91,18 @@ def calibrate_conventions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("mosaic_tiles", f"""
 WITH {cte('cell_b')}
-SELECT collection, acq_date, row_ AS row, col_ AS col, dn AS value FROM (
-  SELECT *, row_number() OVER (PARTITION BY collection, acq_date, row_, col_
-    ORDER BY k2 DESC, k1 DESC, k3 DESC, k4 DESC) AS r FROM cell_b WHERE dn > 5) WHERE r = 1""")
+SELECT collection, month, row_ AS row, col_ AS col, dn AS value FROM (
+  SELECT *, CAST(date_trunc('month', acq_date) AS DATE) AS month, row_number() OVER (
+    PARTITION BY collection, date_trunc('month', acq_date), row_, col_
+    ORDER BY k2 DESC, acq_date DESC, k1 DESC, k3 DESC, k4 DESC) AS r FROM cell_b WHERE dn > 5) WHERE r = 1""")
 def mosaic_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each line number is one input raster, painted in that order as tiles."""
-    painted = bind(spark, sf_dir, "cell_b").where("dn > 5")
-    inputs = M.mosaic(painted, ["k1", "k3", "k4"], keys=["collection", "acq_date", "k2"], cell=RC, value="dn")
-    tiles = T.assemble_tiles(inputs, 64, keys=["collection", "acq_date", "k2"], cell=RC, value="dn")
-    out = T.explode_tiles(T.mosaic_tiles(tiles, order="k2", bucket=3), 64)
+    """Each line number of a month is one input raster, painted in that order as tiles."""
+    painted = bind(spark, sf_dir, "cell_b").where("dn > 5").withColumn(
+        "month", F.trunc("acq_date", "month"))
+    inputs = M.mosaic(painted, ["acq_date", "k1", "k3", "k4"], keys=["collection", "month", "k2"], cell=RC, value="dn")
+    tiles = T.assemble_tiles(inputs, 64, keys=["collection", "month", "k2"], cell=RC, value="dn")
+    keys = ["collection", "month"]
+    out = T.explode_tiles(T.mosaic_tiles(tiles, order="k2", keys=keys, bucket=3), 64, keys)
     return out.withColumn("value", F.col("value").cast("double"))
 
 

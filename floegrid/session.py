@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators rely on. Shuffle partition counts and file split
 # sizes are deliberately left to the cluster: AQE coalesces and splits from there.
@@ -36,6 +36,16 @@ def get_session(app: str = "floegrid", master: str | None = None, **conf: str) -
     return configure(builder.getOrCreate())
 
 
+def spread(frame: DataFrame, *cols: str) -> DataFrame:
+    """Place small rows over all shuffle partitions ahead of heavy per-row work.
+
+    The runtime sizes partitions by bytes and would run compact rows with costly expressions
+    in a few tasks; a fixed partition count is left alone.
+    """
+    n = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return frame.repartition(n, *cols)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
