@@ -47,8 +47,8 @@ EPSG3411 = PolarCrs("EPSG:3411", 6378273.0, 1 - 6356889.449 / 6378273.0)
 def polar_coords(lon: Column, lat: Column, crs: PolarCrs = EPSG3413) -> Column:
     """Struct of map radius `rho` in metres and angle `lam` in radians from the central meridian."""
     phi = F.radians(lat)
-    s = F.lit(crs.e) * F.sin(phi)
-    t = F.tan(F.lit(math.pi / 4) - phi / 2) / F.pow((1 - s) / (1 + s), F.lit(crs.e / 2))
+    # ((1 + s) / (1 - s)) ** (e / 2) is exp(e * atanh(s)), which names s only once.
+    t = F.tan(F.lit(math.pi / 4) - phi / 2) * F.exp(F.lit(crs.e) * F.atanh(F.lit(crs.e) * F.sin(phi)))
     return F.struct((F.lit(crs.rho_per_t) * t).alias("rho"),
                     F.radians(lon - F.lit(crs.lon_0)).alias("lam"))
 

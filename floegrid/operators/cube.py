@@ -1,9 +1,10 @@
 """The sparse (time, row, column) cube on Parquet.
 
-A cube is a folder with three tables: `data` (cells or tiles), `slice` (one row per time slice,
-so that a slice without data stays visible) and `meta` (grid per collection). Data and slices
-are partitioned by collection, date and slice, and written with dynamic partition overwrite:
-a rewritten slice replaces itself and nothing else, and dates that are kept are never touched.
+A cube is a folder with two tables: `data` (cells or tiles) and `meta` (grid per collection).
+Data are partitioned by collection, date and slice, and written with dynamic partition
+overwrite: a rewritten slice replaces itself and nothing else, and dates that are kept are never
+touched. Every slice also holds one marker row without a position, sorted first, so that a
+slice without data stays visible and one write makes data and slice appear together.
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ GRID_COLUMNS = ["west", "south", "east", "north", "resolution", "width", "height
 META_SCHEMA = ("collection string, west double, south double, east double, north double, "
                "resolution double, width bigint, height bigint, crs string, nodata double, "
                "created timestamp, source_files_count bigint")
-SLICE_SCHEMA = "collection string, acq_date date, slice string, acq_time timestamp, n_valid bigint"
 
 
 def bounds_contain(outer: Sequence[Column], inner: Sequence[Column], tol: float = 1e-6) -> Column:
@@ -135,12 +135,24 @@ class Cube:
         hpath = jvm.org.apache.hadoop.fs.Path(path)
         return hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
-    def data(self) -> DataFrame:
+    def _rows(self) -> DataFrame:
         return self._read("data", f"{self.LAYOUTS[self.layout]}, collection string, acq_date date, "
                                   "slice string")
 
+    @property
+    def place(self) -> list[str]:
+        return ["row", "col"] if self.layout == "cell" else ["ty", "tx"]
+
+    def data(self) -> DataFrame:
+        return self._rows().where(F.col(self.place[0]).isNotNull())
+
     def slices(self) -> DataFrame:
-        return self._read("slice", SLICE_SCHEMA)
+        """One row per slice: collection, acq_date, slice and acq_time."""
+        return self._rows().where(F.col(self.place[0]).isNull()).select(*PARTITION, "acq_time")
+
+    def slice_counts(self) -> DataFrame:
+        """Stored cells or tiles per slice."""
+        return self._rows().groupBy(*PARTITION, "acq_time").agg(F.count(self.place[0]).alias("n_valid"))
 
     def meta(self) -> DataFrame:
         return self._read("meta", META_SCHEMA)
@@ -159,38 +171,27 @@ class Cube:
         self._write(row, "meta", ["collection"])
 
     def write_slices(self, data: DataFrame, times: DataFrame) -> None:
-        """Write slices named by `times` (collection, acq_time).
+        """Write slices named by `times` (collection, acq_time), with or without data.
 
-        A time without data gets a slice row all the same. The rebalance hint lets the
-        runtime split a slice that holds most of the data over many tasks and files.
+        The rebalance hint lets the runtime split a slice that holds most of the data over many
+        tasks and files.
         """
-        # A few values per slice, pinned: what they derive from may be overwritten below.
-        checkpoint_dir(self.spark)
-        named = times.select("collection", "acq_time").distinct().checkpoint()
-
-        def keyed(frame: DataFrame) -> DataFrame:
-            return frame.withColumns({"acq_date": F.to_date("acq_time"),
-                                      "slice": F.date_format("acq_time", "HHmmss")})
-        schema = self.data().schema
-        body = keyed(data.join(named, ["collection", "acq_time"], "left_semi"))
-        body = body.select(*[F.col(f.name).cast(f.dataType) for f in schema])
-        within = ["row", "col"] if self.layout == "cell" else ["ty", "tx"]
-        self._write(body.hint("rebalance", *PARTITION).sortWithinPartitions(*PARTITION, *within),
+        named = times.select("collection", "acq_time").distinct()
+        schema = self._rows().schema
+        body = data.join(named, ["collection", "acq_time"], "left_semi")
+        keyed = {"acq_date": F.to_date("acq_time"), "slice": F.date_format("acq_time", "HHmmss")}
+        marked = (body.select("collection", "acq_time", *[c for c in schema.names if c in body.columns
+                                                          and c not in (*PARTITION, "acq_time")])
+                  .unionByName(named, allowMissingColumns=True).withColumns(keyed))
+        rows = marked.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+        self._write(rows.hint("rebalance", *PARTITION).sortWithinPartitions(*PARTITION, *self.place),
                     "data", PARTITION)
-        # Counts come from what was written: one pass over the new partitions' footers' columns.
-        counts = (keyed(named).join(
-            self.data().join(keyed(named).select(*PARTITION), PARTITION, "left_semi")
-            .groupBy(*PARTITION).agg(F.count(F.lit(1)).alias("n_valid")), PARTITION, "left")
-            .select(*PARTITION, "acq_time", F.coalesce("n_valid", F.lit(0)).alias("n_valid")))
-        self._write(counts, "slice", PARTITION)
 
     def drop_dates(self, collection: str, dates: list) -> None:
         """Remove the partitions of some dates; a metadata operation."""
-        for table in ("data", "slice"):
-            for day in dates:
-                path = f"{self.root}/{table}/collection={collection}/acq_date={day}"
-                fs, hpath = self._fs(path)
-                fs.delete(hpath, True)
+        for day in dates:
+            fs, hpath = self._fs(f"{self.root}/data/collection={collection}/acq_date={day}")
+            fs.delete(hpath, True)
 
     def _dates(self, frame: DataFrame) -> list:
         """Dates of one collection; a few thousand values at most."""

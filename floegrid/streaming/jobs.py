@@ -59,7 +59,7 @@ def stream_upsert_cube(cells: DataFrame, cube: Cube, checkpoint: str,
     Columns: collection, acq_time and the cube's layout. A batch adds to the slices it touches;
     its cells win over stored ones. Slices it does not touch are not rewritten.
     """
-    place = ["row", "col"] if cube.layout == "cell" else ["ty", "tx"]
+    place = cube.place
     value = [c for c in cells.columns if c not in ("collection", "acq_time", *place, order)]
 
     def sink(batch: DataFrame, _: int) -> None:
