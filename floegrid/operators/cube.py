@@ -116,7 +116,7 @@ class Cube:
 
     LAYOUTS = {
         "cell": "acq_time timestamp, row int, col int, value float",
-        "tile": "acq_time timestamp, ty int, tx int, h int, w int, data array<float>",
+        "tile": "acq_time timestamp, ty int, tx int, h int, w int, data binary",
     }
 
     def __init__(self, spark: SparkSession, root: str, layout: str = "cell"):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from floegrid.functions.grids import Grid
 from floegrid.functions.projection import EPSG3413, PolarCrs, to_polar
-from floegrid.operators.tiles import TILE_COLUMNS, _cut
+from floegrid.operators.tiles import TILE_COLUMNS, VALUE, decode, encode, tile_schema
 
 # Target pixels between exact spline evaluations; values between are interpolated linearly.
 LATTICE = 16
@@ -92,18 +92,32 @@ def _image_position(rec: dict, ty: int, tx: int, h: int, w: int, tile: int, grid
     return out[0], out[1]
 
 
+@F.pandas_udf(T.BinaryType())
+def _first_column(data: pd.Series, h: pd.Series, w: pd.Series) -> pd.Series:
+    return pd.Series([encode(decode(d, i, j)[:, 0]) for d, i, j in zip(data, h, w)])
+
+
 def halo_tiles(tiles: DataFrame, keys: Sequence[str] = ("granule",)) -> DataFrame:
     """Tiles with the first column, row and pixel of their right, lower and diagonal neighbours.
 
-    The strips are cut JVM-side and all joins share one key, so tiles are shuffled once.
+    Every tile sends three strips of a few kilobytes; tiles themselves are shuffled once.
     """
     on = [*keys, "ty", "tx"]
-    first_col = F.filter("data", lambda v, i: i % F.col("w") == 0)
-    right = tiles.select(*keys, "ty", (F.col("tx") - 1).alias("tx"), first_col.alias("right"))
-    below = tiles.select(*keys, (F.col("ty") - 1).alias("ty"), "tx", F.slice("data", F.lit(1), F.col("w")).alias("below"))
-    corner = tiles.select(*keys, (F.col("ty") - 1).alias("ty"), (F.col("tx") - 1).alias("tx"),
-                          F.element_at("data", 1).alias("corner"))
-    return tiles.join(right, on, "left").join(below, on, "left").join(corner, on, "left")
+
+    def strip(dy: int, dx: int, right, below, corner):
+        none = F.lit(None).cast("binary")
+        return F.struct((F.col("ty") - dy).alias("ty"), (F.col("tx") - dx).alias("tx"),
+                        F.coalesce(right, none).alias("right"), F.coalesce(below, none).alias("below"),
+                        F.coalesce(corner, none).alias("corner"))
+    none = F.lit(None).cast("binary")
+    cut = tiles.select(*on, _first_column("data", "h", "w").alias("_col"),
+                       F.expr("substring(data, 1, 4 * w)").alias("_row"),
+                       F.expr("substring(data, 1, 4)").alias("_px"))
+    sent = cut.select(*keys, F.inline(F.array(strip(0, 1, F.col("_col"), none, none),
+                                              strip(1, 0, none, F.col("_row"), none),
+                                              strip(1, 1, none, none, F.col("_px")))))
+    strips = sent.groupBy(*on).agg(*[F.max(c).alias(c) for c in ("right", "below", "corner")])
+    return tiles.join(strips, on, "left")
 
 
 def geocode_tiles(tiles: DataFrame, gcps: DataFrame, grid: Grid, tile: int, out_tile: int,
@@ -155,9 +169,7 @@ def geocode_tiles(tiles: DataFrame, gcps: DataFrame, grid: Grid, tile: int, out_
     requests = wanted.mapInPandas(ask, asked)
     paired = requests.join(halo_tiles(tiles, keys), [*names, "ty", "tx"])
     keep = [*names, *carry]
-    schema = T.StructType([paired.schema[k] for k in keep] + [
-        T.StructField(n, T.IntegerType()) for n in ("ty", "tx", "h", "w")] + [
-        T.StructField("data", T.ArrayType(T.FloatType()))])
+    schema = tile_schema(paired, keep)
 
     def resample(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -167,7 +179,7 @@ def geocode_tiles(tiles: DataFrame, gcps: DataFrame, grid: Grid, tile: int, out_
                 r, c = _image_position(rec, rec["dty"], rec["dtx"], h, w, out_tile, grid, lattice)
                 data = _pull(rec, r, c, tile)
                 if not np.isnan(data).all():
-                    out.append([*[rec[k] for k in keep], rec["dty"], rec["dtx"], h, w, _cut(data)])
+                    out.append([*[rec[k] for k in keep], rec["dty"], rec["dtx"], h, w, encode(data)])
             yield pd.DataFrame(out, columns=[*keep, *TILE_COLUMNS])
     return paired.mapInPandas(resample, schema)
 
@@ -176,13 +188,15 @@ def _pull(rec: dict, r: np.ndarray, c: np.ndarray, tile: int) -> np.ndarray:
     """Bilinear values of the target pixels whose base pixel lies in this source tile."""
     sh, sw = int(rec["h"]), int(rec["w"])
     src = np.full((sh + 1, sw + 1), np.nan)
-    src[:sh, :sw] = np.asarray(rec["data"], dtype=np.float64).reshape(sh, sw)
+    src[:sh, :sw] = decode(rec["data"], sh, sw)
     if rec["right"] is not None:
-        src[:len(rec["right"]), sw] = rec["right"]
+        right = np.frombuffer(rec["right"], dtype=VALUE)
+        src[:len(right), sw] = right
     if rec["below"] is not None:
-        src[sh, :len(rec["below"])] = rec["below"]
+        below = np.frombuffer(rec["below"], dtype=VALUE)
+        src[sh, :len(below)] = below
     if rec["corner"] is not None:
-        src[sh, sw] = rec["corner"]
+        src[sh, sw] = np.frombuffer(rec["corner"], dtype=VALUE)[0]
     hit = (r >= 0) & (r < rec["n_rows"]) & (c >= 0) & (c < rec["n_cols"])
     fr, fc = np.maximum(r - 0.5, 0), np.maximum(c - 0.5, 0)
     r0, c0 = np.floor(fr).astype(np.int64), np.floor(fc).astype(np.int64)

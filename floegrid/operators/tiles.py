@@ -1,8 +1,9 @@
 """The tile layout: one row per chunk of a raster.
 
-Tiles carry `h x w` values row-major in `data`; NaN is nodata. Array work runs in Arrow batches.
-Functions that see many tiles of one place read them as a sorted stream and hold one tile, so
-no group is ever gathered in memory.
+`data` holds h x w little-endian float32 values row-major as bytes; NaN is nodata. Bytes cross
+between Spark and Python by block copy, where an array column would be converted value by value,
+and they compress well in Parquet. Functions that see many tiles of one place read them as a
+sorted stream and hold one tile, so no group is ever gathered in memory.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from floegrid.operators.mosaic import CELL, SLICE
@@ -18,24 +20,25 @@ from floegrid.operators.mosaic import CELL, SLICE
 TILE_COLUMNS = ["ty", "tx", "h", "w", "data"]
 # Values per batch handed back to Spark: a few large tiles or many small ones.
 FLUSH_VALUES = 1 << 22
-_NUMPY = {"float": np.float32, "double": np.float64}
+VALUE = np.dtype("<f4")
 
 
-def _schema(frame: DataFrame, keys: Sequence[str], dtype: str = "float",
-            extra: Sequence[T.StructField] = ()) -> T.StructType:
-    value = T.FloatType() if dtype == "float" else T.DoubleType()
-    return T.StructType([frame.schema[k] for k in keys] + list(extra) + [
-        T.StructField("ty", T.IntegerType()), T.StructField("tx", T.IntegerType()),
-        T.StructField("h", T.IntegerType()), T.StructField("w", T.IntegerType()),
-        T.StructField("data", T.ArrayType(value))])
+def decode(data: bytes, h: int, w: int) -> np.ndarray:
+    return np.frombuffer(data, dtype=VALUE).reshape(h, w)
+
 
+def encode(values: np.ndarray) -> bytes:
+    return np.ascontiguousarray(values, dtype=VALUE).tobytes()
 
-def _cut(values: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(values).ravel()
+
+def tile_schema(frame: DataFrame, keys: Sequence[str], extra: Sequence[T.StructField] = ()) -> T.StructType:
+    return T.StructType([frame.schema[k] for k in keys] + list(extra) + [
+        T.StructField(n, T.IntegerType()) for n in ("ty", "tx", "h", "w")] + [
+        T.StructField("data", T.BinaryType())])
 
 
 def assemble_tiles(cells: DataFrame, tile: int, keys: Sequence[str] = SLICE,
-                   cell: Sequence[str] = CELL, value: str = "value", dtype: str = "float",
+                   cell: Sequence[str] = CELL, value: str = "value",
                    height: int | None = None, width: int | None = None) -> DataFrame:
     """Cells (at most one per position) to tiles. A place without cells has no tile row.
 
@@ -44,20 +47,19 @@ def assemble_tiles(cells: DataFrame, tile: int, keys: Sequence[str] = SLICE,
     row, col = cell
     h = F.lit(tile) if height is None else F.least(F.lit(tile), F.lit(height) - F.col("ty") * tile)
     w = F.lit(tile) if width is None else F.least(F.lit(tile), F.lit(width) - F.col("tx") * tile)
-    np_type = _NUMPY[dtype]
 
-    @F.pandas_udf(f"array<{dtype}>")
+    @F.pandas_udf(T.BinaryType())
     def scatter(at: pd.Series, values: pd.Series, size: pd.Series) -> pd.Series:
         out = []
         for i, v, n in zip(at, values, size):
-            data = np.full(n, np.nan, dtype=np_type)
+            data = np.full(n, np.nan, dtype=VALUE)
             data[i] = v
-            out.append(data)
+            out.append(data.tobytes())
         return pd.Series(out)
     placed = cells.select(*keys, F.expr(f"int({row} div {tile})").alias("ty"),
                           F.expr(f"int({col} div {tile})").alias("tx"),
                           F.expr(f"int({row} % {tile})").alias("_r"),
-                          F.expr(f"int({col} % {tile})").alias("_c"), F.col(value).cast(dtype).alias("_v"))
+                          F.expr(f"int({col} % {tile})").alias("_c"), F.col(value).cast("float").alias("_v"))
     # A group is one tile: never more than tile x tile cells.
     grouped = (placed.where(F.col("_v").isNotNull()).groupBy(*keys, "ty", "tx")
                .agg(F.collect_list(F.struct("_r", "_c", "_v")).alias("_cells"))
@@ -68,13 +70,37 @@ def assemble_tiles(cells: DataFrame, tile: int, keys: Sequence[str] = SLICE,
 
 
 def explode_tiles(tiles: DataFrame, tile: int, keys: Sequence[str] = SLICE) -> DataFrame:
-    """Tiles to their valid cells, JVM-side."""
-    cells = tiles.select(*keys, *[c for c in ("ty", "tx", "w") if c not in keys],
-                         F.posexplode("data").alias("_i", "value"))
-    row = F.col("ty") * tile + F.expr("int(_i div w)")
-    col = F.col("tx") * tile + F.expr("int(_i % w)")
-    return (cells.where(F.col("value").isNotNull() & ~F.isnan("value"))
-            .select(*keys, row.alias("row"), col.alias("col"), "value"))
+    """Tiles to their valid cells, in batches of bounded size."""
+    names = list(keys)
+    schema = T.StructType([tiles.schema[k] for k in names] + [
+        T.StructField("row", T.IntegerType()), T.StructField("col", T.IntegerType()),
+        T.StructField("value", T.FloatType())])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = []
+            size = 0
+            ty, tx, w = (batch.column(c).to_numpy() for c in ("ty", "tx", "w"))
+            for i, data in enumerate(batch.column("data")):
+                values = np.frombuffer(data.as_buffer(), dtype=VALUE)
+                at = np.flatnonzero(~np.isnan(values))
+                held.append((i, ty[i] * tile + at // w[i], tx[i] * tile + at % w[i], values[at]))
+                size += len(at)
+                if size >= FLUSH_VALUES:
+                    yield rows(batch, held)
+                    held, size = [], 0
+            if held:
+                yield rows(batch, held)
+
+    def rows(batch: pa.RecordBatch, held: list) -> pa.RecordBatch:
+        source = pa.array(np.repeat([h[0] for h in held], [len(h[1]) for h in held]), pa.int64())
+        cells = [np.concatenate([h[k] for h in held]) for k in (1, 2, 3)]
+        return pa.RecordBatch.from_arrays(
+            [*[batch.column(k).take(source) for k in names], pa.array(cells[0], pa.int32()),
+             pa.array(cells[1], pa.int32()), pa.array(cells[2], pa.float32())],
+            names=[*names, "row", "col", "value"])
+    needed = list(dict.fromkeys([*names, "ty", "tx", "w", "data"]))
+    return tiles.select(*needed).mapInArrow(scan, schema)
 
 
 def retile(tiles: DataFrame, tile: int, to: int, height: int, width: int, keys: Sequence[str] = SLICE,
@@ -86,14 +112,14 @@ def retile(tiles: DataFrame, tile: int, to: int, height: int, width: int, keys:
     sources appears once per piece, NaN elsewhere, until `mosaic_tiles` folds them.
     """
     names = list(keys)
-    schema = _schema(tiles, names)
+    schema = tile_schema(tiles, names)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
             for rec in pdf.itertuples(index=False):
                 r = rec._asdict()
-                src = np.asarray(r["data"], dtype=np.float32).reshape(r["h"], r["w"])
+                src = decode(r["data"], r["h"], r["w"])
                 top = r["ty"] * tile + (int(r[row_off]) if row_off else 0)
                 left = r["tx"] * tile + (int(r[col_off]) if col_off else 0)
                 y0, x0 = max(0, top), max(0, left)
@@ -110,7 +136,7 @@ def retile(tiles: DataFrame, tile: int, to: int, height: int, width: int, keys:
                         h, w = min(to, height - ty * to), min(to, width - tx * to)
                         full = np.full((h, w), np.nan, dtype=np.float32)
                         full[a - ty * to:b - ty * to, c - tx * to:d - tx * to] = piece
-                        out.append([*[r[k] for k in names], ty, tx, h, w, _cut(full)])
+                        out.append([*[r[k] for k in names], ty, tx, h, w, encode(full)])
                 if len(out) * to * to >= FLUSH_VALUES:
                     yield pd.DataFrame(out, columns=[*names, *TILE_COLUMNS])
                     out = []
@@ -122,7 +148,7 @@ def retile(tiles: DataFrame, tile: int, to: int, height: int, width: int, keys:
 def _fold(tiles: DataFrame, keys: list[str], carry: list[str], order: str) -> DataFrame:
     """Stream sorted tiles and keep the later valid value per pixel."""
     group = [*keys, *carry, "ty", "tx"]
-    schema = _schema(tiles, keys, extra=[tiles.schema[c] for c in [*carry, order]])
+    schema = tile_schema(tiles, keys, extra=[tiles.schema[c] for c in [*carry, order]])
     columns = [f.name for f in schema]
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -131,11 +157,12 @@ def _fold(tiles: DataFrame, keys: list[str], carry: list[str], order: str) -> Da
 
         def emit() -> list:
             head = dict(zip(group, held))
-            tail = {order: last, "h": shape[0], "w": shape[1], "data": acc}
+            tail = {order: last, "h": shape[0], "w": shape[1], "data": encode(acc)}
             return [head[c] if c in head else tail[c] for c in columns]
         for pdf in batches:
+            blobs = pdf["data"].tolist()
             for i, key in enumerate(pdf[group].itertuples(index=False, name=None)):
-                data = np.asarray(pdf["data"].iat[i], dtype=np.float32)
+                data = np.frombuffer(blobs[i], dtype=VALUE)
                 if key != held:
                     if held is not None:
                         done.append(emit())
@@ -177,15 +204,15 @@ def overview_tiles(tiles: DataFrame, how: str = "average") -> DataFrame:
         for pdf in batches:
             out = []
             for data, h, w in zip(pdf["data"], pdf["h"], pdf["w"]):
-                a = np.asarray(data, dtype=np.float32).reshape(h, w)
+                a = decode(data, h, w)
                 if how == "nearest":
-                    out.append(_cut(a[::2, ::2]))
+                    out.append(encode(a[::2, ::2]))
                     continue
                 a = np.pad(a, ((0, h % 2), (0, w % 2)), constant_values=np.nan)
                 q = a.reshape(a.shape[0] // 2, 2, a.shape[1] // 2, 2)
                 n = (~np.isnan(q)).sum(axis=(1, 3))
                 with np.errstate(invalid="ignore", divide="ignore"):
-                    out.append(_cut((np.nansum(q, axis=(1, 3)) / n).astype(np.float32)))
+                    out.append(encode(np.nansum(q, axis=(1, 3)) / n))
             pdf = pdf.assign(data=out, h=(pdf["h"] + 1) // 2, w=(pdf["w"] + 1) // 2)
             yield pdf
     return tiles.mapInPandas(halve, tiles.schema)
@@ -220,7 +247,7 @@ def calibrate_tiles(tiles: DataFrame, lut: DataFrame, tile: int,
     """
     joined = tiles.join(lut_arrays(lut), list(on))
     keys = [c for c in joined.columns if c not in ("lines", "pixels", "k", *TILE_COLUMNS)]
-    schema = _schema(joined, keys)
+    schema = tile_schema(joined, keys)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -234,9 +261,9 @@ def calibrate_tiles(tiles: DataFrame, lut: DataFrame, tile: int,
                 fy, fx = fy[:, None], fx[None, :]
                 kk = ((1 - fy) * ((1 - fx) * k2[np.ix_(i, j)] + fx * k2[np.ix_(i, j + 1)])
                       + fy * ((1 - fx) * k2[np.ix_(i + 1, j)] + fx * k2[np.ix_(i + 1, j + 1)]))
-                d = np.asarray(dn, dtype=np.float64).reshape(h, w)
+                d = decode(dn, h, w).astype(np.float64)
                 with np.errstate(divide="ignore", invalid="ignore"):
                     db = np.where(d > 0, 10 * np.log10(d * d / (kk * kk)), np.nan)
-                out.append(_cut(db.astype(np.float32)))
+                out.append(encode(db))
             yield pdf[[*keys, "ty", "tx", "h", "w"]].assign(data=out)
     return joined.mapInPandas(run, schema)

@@ -123,22 +123,22 @@ def upsert_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("retile", f"""
 WITH {cte('cell_b')},
-m AS (SELECT collection, month, row_, col_, value FROM (
+m AS (SELECT collection, month, row_, col_, dn AS value FROM (
   SELECT *, CAST(date_trunc('month', acq_date) AS DATE) AS month, row_number() OVER (
     PARTITION BY collection, date_trunc('month', acq_date), row_, col_
     ORDER BY acq_date DESC, k1 DESC, k2 DESC, k3 DESC, k4 DESC) AS r FROM cell_b) WHERE r = 1)
 SELECT collection, month, CAST(row_ // 32 AS INTEGER) AS ty, CAST(col_ // 32 AS INTEGER) AS tx, count(*) AS n,
-  CAST(sum(CAST(round(value * 100) AS BIGINT) * ((row_ % 32) * 32 + col_ % 32)) AS BIGINT) AS checksum
+  CAST(sum(CAST(value AS BIGINT) * ((row_ % 32) * 32 + col_ % 32)) AS BIGINT) AS checksum
 FROM m GROUP BY collection, month, row_ // 32, col_ // 32""")
 def retile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly cells to 32 x 32 tiles and back, summarised by position."""
     monthly = bind(spark, sf_dir, "cell_b").withColumn("month", F.trunc("acq_date", "month"))
-    m = mosaic(monthly, ["acq_date", "k1", "k2", "k3", "k4"], keys=["collection", "month"], cell=RC)
-    tiles = assemble_tiles(m, 32, keys=["collection", "month"], cell=RC, dtype="double")
+    m = mosaic(monthly, ["acq_date", "k1", "k2", "k3", "k4"], keys=["collection", "month"], cell=RC, value="dn")
+    tiles = assemble_tiles(m, 32, keys=["collection", "month"], cell=RC, value="dn")
     back = explode_tiles(tiles, 32, keys=["collection", "month", "ty", "tx"])
     idx = (F.col("row") % 32) * 32 + F.col("col") % 32
     return back.groupBy("collection", "month", "ty", "tx").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.round(F.col("value") * 100).cast("long") * idx).alias("checksum"))
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("long") * idx).alias("checksum"))
 
 
 @query("sync_cube", MOSAIC_SQL + """,
