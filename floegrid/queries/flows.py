@@ -10,7 +10,9 @@ from floegrid.functions.grids import ARCTIC_10KM, Grid
 from floegrid.operators import mosaic as M, tiles as T
 from floegrid.operators.cube import Cube
 from floegrid.operators.geocode import geocode_tiles
-from floegrid.plans.bindings import bind, cte, read_table
+from floegrid.operators.lod import chunk_no, pending_chunks
+from floegrid.operators.stats import merge_bounds, union_bounds
+from floegrid.plans.bindings import BINDINGS, bind, cte, read_table
 from floegrid.queries import query
 from floegrid.queries.geometry import _AREA_SQL, corner_ring, rings
 from floegrid.queries.pixels import RC
@@ -18,7 +20,8 @@ from floegrid.session import checkpoint_dir
 from floegrid.sources.fields import force_grid
 from floegrid.sources.granules import GRANULE_PAGE, parse_granules
 from floegrid.sources.objects import object_refs
-from floegrid.streaming.jobs import stream_daily_counts, stream_upsert_cube
+from floegrid.streaming.jobs import (read_items, stream_catalog, stream_daily_counts, stream_dedupe,
+                                     stream_upsert_cube)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -152,7 +155,6 @@ def daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT collection, month AS acq_date, row_ AS row, col_ AS col, dn AS value FROM m WHERE r = 1""")
 def upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cell table as a stream of monthly slices into the stored cube."""
-    from floegrid.plans.bindings import BINDINGS
     table, exprs = BINDINGS["cell_b"]
     cells = stream_table(spark, sf_dir, table).selectExpr(*exprs)
     out = scratch(spark, "stream")
@@ -163,3 +165,57 @@ def upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.struct("acq_date", "k1", "k2", "k3", "k4").alias("ord"))
     stream_upsert_cube(stream, cube, f"{out}/ck", "ord").awaitTermination()
     return cube.data().select("collection", "acq_date", "row", "col", F.col("value").cast("double").alias("value"))
+
+
+@query("stream_dedupe", "SELECT DISTINCT event_id // 2 AS ur FROM events")
+def dedupe_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every key of the event stream once; two neighbouring events share a key."""
+    events = stream_table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("start"), F.expr("event_id div 2").alias("ur"))
+    out = scratch(spark, "dedupe")
+    unique = stream_dedupe(events, "10 days").select("ur")
+    (unique.writeStream.format("parquet").option("path", f"{out}/data").option("checkpointLocation", f"{out}/ck")
+     .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(unique.schema).parquet(f"{out}/data")
+
+
+@query("stream_catalog", f"""
+WITH {cte('listing_b')}
+SELECT collection, id, href, ord FROM (
+  SELECT collection, regexp_replace(regexp_extract(key_, '([^/]*)$', 1), '\\.[^.]*$', '') AS id, key_ AS href, ord,
+    row_number() OVER (PARTITION BY collection, key_ ORDER BY ord DESC) AS r FROM listing_b) WHERE r = 1""")
+def catalog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed objects as a stream of items; the latest of each id stays."""
+    table, exprs = BINDINGS["listing_b"]
+    rows = stream_table(spark, sf_dir, table).selectExpr(*exprs)
+    day = F.col("acq_date").cast("timestamp")
+    items = rows.select("collection", F.col("key_").alias("key"), *[F.lit(None).cast("double").alias(c) for c in (
+        "west", "south", "east", "north")], day.alias("t_min"), day.alias("t_max"), F.col("key_").alias("href"), "ord")
+    out = scratch(spark, "catalogue")
+    stream_catalog(items, out, f"{out}/ck").awaitTermination()
+    return read_items(spark, out).select("collection", "id", "href", "ord")
+
+
+@query("pending_chunks", f"""
+WITH {cte('wind_b')},
+c AS (SELECT acq_date, event_id, CAST((row_number() OVER (PARTITION BY acq_date ORDER BY row_, col_, event_id) - 1) // 50 AS BIGINT) AS chunk
+  FROM wind_b)
+SELECT acq_date, event_id, chunk FROM c WHERE chunk >= CASE WHEN day(acq_date) % 2 = 0 THEN day(acq_date) % 5 ELSE 0 END""")
+def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches left to load where even days have some done already."""
+    rows = bind(spark, sf_dir, "wind_b")
+    chunks = chunk_no(rows, ["acq_date"], ["row_", "col_", "event_id"], size=50)
+    state = (rows.select("acq_date").distinct().where("day(acq_date) % 2 = 0")
+             .withColumn("chunks_done", F.expr("day(acq_date) % 5")))
+    return pending_chunks(chunks, state, ["acq_date"]).select("acq_date", "event_id", "chunk")
+
+
+@query("merge_bounds", f"""
+WITH {cte('granule_b')}
+SELECT satellite, min(xmin) AS west, min(ymin) AS south, max(xmax) AS east, max(ymax) AS north FROM granule_b
+WHERE ord % 3 <> 0 GROUP BY satellite""")
+def merged_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = bind(spark, sf_dir, "granule_b").withColumns({
+        "res_x": F.lit(40.0), "crs": F.lit("EPSG:3413"), "nodata": F.lit(None).cast("double")})
+    held, new = (union_bounds(g.where(f"ord % 3 = {k}"), ["satellite"]) for k in (1, 2))
+    return merge_bounds(held, new, ["satellite"])

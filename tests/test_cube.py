@@ -294,3 +294,28 @@ def test_tile_cube_layout(spark, tmp_path):
     tiles = T.assemble_tiles(tile_cells(spark, 20, 13), 8, height=20, width=13).withColumn("acq_time", F.to_timestamp("acq_date"))
     cube.write_slices(tiles.drop("acq_date"), tiles.select("collection", "acq_time"))
     assert flat(T.explode_tiles(cube.data(), 8)) == flat(tile_cells(spark, 20, 13)) and cube.slices().count() == 1
+
+
+def test_coordinate_bounds_add_one_step(spark):
+    df = spark.createDataFrame([(0.0, 40.0), (30.0, 10.0)], "x double, y double")
+    assert tuple(S.coordinate_bounds(df, res=10.0).head()) == (0.0, 0.0, 40.0, 40.0)
+
+
+def test_one_hot_place_is_shared(spark):
+    """A third of all inputs painted on one cell and one tile."""
+    df = spark.range(3000).selectExpr("id AS ord", "int(IF(id % 3 = 0, 5, id % 40)) AS row", "int(IF(id % 3 = 0, 5, id % 37)) AS col",
+                                      "float(id) AS value", "'c' AS collection", "date'2024-01-01' AS acq_date")
+    want = flat(M.mosaic(df, ["ord"]))
+    assert dict(((r, c), v) for r, c, v in want)[(5, 5)] == 2997.0
+    tiles = T.assemble_tiles(df, 8, keys=["collection", "acq_date", "ord"])
+    assert flat(T.explode_tiles(T.mosaic_tiles(tiles, bucket=64), 8)) == want
+
+
+def test_hot_key_chunks(spark):
+    from floegrid.operators.lod import chunk_no
+    df = spark.range(6000).selectExpr("IF(id % 3 = 0, 'hot', concat('k', id % 50)) AS k", "id")
+    out = chunk_no(df, ["k"], ["id"], size=100, partitions=8)
+    sizes = out.groupBy("k", "chunk").count()
+    full = sizes.where("k = 'hot'")
+    assert full.count() == 20 and full.where("count <> 100").count() == 0
+    assert out.count() == 6000 and sizes.where("count > 100").count() == 0
