@@ -21,9 +21,7 @@ ORACLE_SQL = None
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remaining text without long repeats; a character cut in two by a removed span goes with it."""
-    kept = F.decode(F.col("kept"), "UTF-8")
-    found = remove_repeats(docs)
-    return (found.withColumn("text", F.when(F.col("text").isNull(), None).otherwise(F.translate(kept, "�", "")))
+    return (remove_repeats(docs).withColumn("text", F.when(F.col("text").isNotNull(), F.col("kept_text")))
             .withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS))
 
 

@@ -7,7 +7,7 @@ encoded together; that is tested by undoing the later of the two merges step by
 the back-pointers from the end gives the ids. Time is linear in the length of a piece.
 
 Pieces come from the vocabulary's pre-tokenizer pattern and repeat a great deal, so each worker keeps the
-ids of the pieces that it has met. Rows are independent: there is no shuffle.
+ids of pieces and the tests of pairs that it has met, up to a fixed number. Rows are independent: there is no shuffle.
 
 Defined results: a null text is an empty text, which has no ids and decodes to an empty text; the
 special token's own text in a document is encoded as that token, as the tokenizers library does;
@@ -31,6 +31,7 @@ from floegrid.llm.text import chunks, once_per_worker
 # Fixed value: the pre-tokenizer pattern of byte-level vocabularies.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CACHED_PIECES = 400_000
+CACHED_PAIRS = 1_000_000
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -91,6 +92,7 @@ class Encoder:
         self.split = (regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")").split
                       if self.special else None)
         self.known: dict[str, tuple[str, int, bytes]] = {}
+        self.tested: dict[int, bool] = {}
 
     def stay_apart(self, left: int, right: int) -> bool:
         """Whether `left` followed by `right` is what encoding their joint text gives.
@@ -118,10 +120,25 @@ class Encoder:
         n = len(piece)
         last: list[int] = [-1] * (n + 1)
         size = [0] * (n + 1)
+        tested, done = self.tested, 0
         for end, (length, token) in self.automaton.iter(piece.decode("latin-1")):
-            start = end + 1 - length
-            if last[end + 1] < 0 and (start == 0 or (last[start] >= 0 and self.stay_apart(last[start], token))):
-                last[end + 1], size[end + 1] = token, length
+            end += 1
+            if end == done:
+                continue
+            start = end - length
+            if start:
+                before = last[start]
+                if before < 0:
+                    continue
+                both = before << 24 | token
+                apart = tested.get(both)
+                if apart is None:
+                    if len(tested) >= CACHED_PAIRS:
+                        tested.clear()
+                    apart = tested[both] = self.stay_apart(before, token)
+                if not apart:
+                    continue
+            last[end], size[end], done = token, length, end
         ids = []
         while n:
             if last[n] < 0:

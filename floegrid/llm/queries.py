@@ -42,3 +42,54 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return encode_documents(docs, vocabulary_path(), ids=False).select(
         "doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def id_crc(modulus: int):
+    """crc32 of doc_id as text, modulo; null for a null id."""
+    from pyspark.sql import functions as F
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+@query("op5_language_mixture")
+def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row without doc_id is held out: whether it may be learned from is unknown."""
+    from pyspark.sql import functions as F
+
+    from floegrid.llm.language import learn_languages, predict_languages
+    docs = table(spark, sf_dir, "documents")
+    model = learn_languages(docs.where(id_crc(4) != 2))
+    held = F.coalesce(id_crc(4) == 2, F.lit(True)).alias("held_out")
+    return predict_languages(docs.select("doc_id", held, "text"), model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op6_winnowing")
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from floegrid.llm.decontaminate import find_benchmark, is_contaminated
+    found = find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items",
+                        F.sha2(F.array_join("item_ids", ",").cast("binary"), 256).alias("items_sha256"),
+                        is_contaminated().alias("contaminated"))
+
+
+@query("op7_minhash_odd_sketch")
+def op7_minhash_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from floegrid.llm.near_dup import assign
+    return assign(table(spark, sf_dir, "documents"), size=2, percent=80).select(
+        F.col("_id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+@query("op8_quality_machine")
+def op8_quality_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row without doc_id is held out: whether it may be learned from is unknown."""
+    from pyspark.sql import functions as F
+
+    from floegrid.llm.quality import fit_quality, score_quality
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(id_crc(5) != 0)
+    held = F.coalesce(id_crc(5) == 0, F.lit(True)).alias("held_out")
+    return score_quality(docs.withColumn("held_out", held), fit_quality(docs, labels)).select(
+        "doc_id", "held_out", "score", "predicted")

@@ -456,8 +456,11 @@ def _remove(raw: bytes, starts: list[tuple[int, int]], length: int) -> tuple[byt
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", keep_text: bool = True) -> DataFrame:
-    """`docs` with n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, `kept` (binary)."""
-    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if keep_text else [])]
+    """`docs` with n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, `kept_text`.
+
+    `kept_text` is the remaining bytes as text; what a removed span left of a character cut in two is not in it.
+    """
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept_text"] if keep_text else [])]
     base = docs.drop(*names).withColumns(dict(zip(("_k1", "_k2"), text_key(F.col(text)))))
     texts = cut_by(base.select(F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.coalesce(F.col(text), F.lit("")).alias("text"))
                 .groupBy("k1", "k2").agg(F.max("text").alias("text"), F.count(F.lit(1)).alias("copies")),
@@ -470,11 +473,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", ke
             for value, starts in zip(batch.column("text").to_pylist(), batch.column("starts").to_pylist()):
                 raw = value.encode()
                 kept, removed, n = _remove(raw, [(s["first"], s["last"]) for s in starts or ()], length)
-                out.append((len(raw), removed, n, hashlib.sha256(kept).hexdigest(), kept))
+                out.append((len(raw), removed, n, hashlib.sha256(kept).hexdigest(), kept.decode("utf-8", "ignore")))
             made = [pa.array([o[i] for o in out], t) for i, t in enumerate(
-                (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())[:len(names)])]
+                (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())[:len(names)])]
             yield pa.RecordBatch.from_arrays([batch.column("k1"), batch.column("k2"), *made], names=["_k1", "_k2", *names])
-    types = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary" if keep_text else "")
+    types = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept_text string" if keep_text else "")
     results = texts.join(spans, ["k1", "k2"], "left").select("k1", "k2", "text", "starts").mapInArrow(
         run, f"_k1 long, _k2 long, {types}")
     return base.join(results, ["_k1", "_k2"]).drop("_k1", "_k2")

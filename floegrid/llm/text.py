@@ -64,14 +64,14 @@ def packed(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
-           limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of the batches with at most `limit` bytes of text each, or a single row."""
+           limit: int = CHUNK_BYTES, rows: int = 1 << 30) -> Iterator[pa.RecordBatch]:
+    """Slices of the batches with at most `limit` bytes of text and `rows` rows each, or a single row."""
     for batch in batches:
         text = batch.column(column)
         sizes = np.asarray(pa.compute.binary_length(text).fill_null(0)).astype(np.int64)
         start, total = 0, 0
         for i, n in enumerate(sizes.tolist()):
-            if i > start and total + n > limit:
+            if i > start and (total + n > limit or i - start >= rows):
                 yield batch.slice(start, i - start)
                 start, total = i, 0
             total += n
