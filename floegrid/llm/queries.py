@@ -93,3 +93,103 @@ def op8_quality_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = F.coalesce(id_crc(5) == 0, F.lit(True)).alias("held_out")
     return score_quality(docs.withColumn("held_out", held), fit_quality(docs, labels)).select(
         "doc_id", "held_out", "score", "predicted")
+
+
+@query("op1_licences")
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from floegrid.llm.licences import scan_licences
+    found = scan_licences(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.array_join(F.transform("finds", lambda f: F.concat_ws(":", f["family"], f["paragraph"], f["first"], f["end"])), ",")
+    return found.select("doc_id", "n_paragraphs", "licences", "n_licence", "n_unknown", spans.alias("found"))
+
+
+SPACE_CLASS = r"[ \t\n\x0B\f\r]"
+
+
+@query("op2_host_rules", fr"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(t, '{SPACE_CLASS}+'), lambda x: x <> '') AS ws,
+             list_filter(string_split(t, chr(10)), lambda x: length(regexp_replace(x, '{SPACE_CLASS}', '', 'g')) > 0) AS lines FROM d),
+win AS (SELECT rid, i, array_to_string(ws[i:i + 7], ' ') AS k
+        FROM (SELECT rid, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) > 8)),
+rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, k) AS c FROM win) WHERE c > 1),
+cov AS (SELECT rid, count(DISTINCT p) AS n FROM (SELECT rid, unnest(range(i, i + 8)) AS p FROM rep) GROUP BY rid),
+r AS (SELECT w.rid, doc_id, source, CAST(len(ws) AS BIGINT) AS n_words,
+             CAST(length(regexp_replace(t, '{SPACE_CLASS}', '', 'g')) AS BIGINT) AS word_chars,
+             CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+             CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+             CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words
+      FROM w LEFT JOIN cov ON w.rid = cov.rid),
+b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM r),
+h AS (SELECT source, count(*) AS host_docs, CAST(sum(CAST(base_failed AS INT)) AS BIGINT) AS host_failed FROM b GROUP BY source),
+p AS (SELECT sum(host_failed) / sum(host_docs) AS m, sum(host_docs * (host_failed / host_docs) * (host_failed / host_docs)) AS sq,
+             sum(host_docs) AS n, count(*) AS k FROM h),
+s AS (SELECT m, least(greatest(m * (1 - m) / greatest(sq / n - m * m - m * (1 - m) * k / n, 1e-4) - 1, 2.0), 1e4) AS s FROM p),
+v AS (SELECT source, host_docs, host_failed, (host_failed + m * s) / (host_docs + s) <= 0.8 AS host_kept FROM h, s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND host_kept AS kept,
+       host_docs, host_failed
+FROM b LEFT JOIN v ON b.source IS NOT DISTINCT FROM v.source""")
+def op2_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from floegrid.llm.rules import judge
+    return judge(table(spark, sf_dir, "documents").select("doc_id", "text", "source")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "host_docs", "host_failed")
+
+
+@query("op9_perspectives", r"""
+WITH t AS (SELECT DISTINCT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL),
+p AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS place,
+             coalesce(role, 'unknown') AS name, coalesce(text, '') AS text FROM t),
+people AS (SELECT DISTINCT conv_id, name AS speaker FROM p WHERE name <> 'system'),
+x AS (SELECT p.conv_id, speaker, place, place // 256 AS block, name = speaker AS own,
+             CASE WHEN name = 'system' THEN '<|system|>' || chr(10) WHEN name = speaker THEN '<|assistant|>' || chr(10)
+                  ELSE '<|user name=' || name || '|>' || chr(10) END AS head, text || '<|end|>' || chr(10) AS body
+      FROM p JOIN people ON p.conv_id = people.conv_id),
+o AS (SELECT *, coalesce(sum(length(head) + length(body)) OVER (PARTITION BY conv_id, speaker ORDER BY place
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start_at FROM x)
+SELECT conv_id, speaker, CAST(block AS BIGINT) AS block, count(*) AS n_turns, CAST(min(start_at) AS BIGINT) AS start_char,
+       string_agg(head || body, '' ORDER BY place) AS rendered,
+       coalesce(string_agg(CAST(start_at + length(head) AS VARCHAR) || '-' || CAST(start_at + length(head) + length(body) AS VARCHAR), ','
+                ORDER BY place) FILTER (WHERE own), '') AS masks,
+       CAST(coalesce(sum(length(body)) FILTER (WHERE own), 0) AS BIGINT) AS n_masked
+FROM o GROUP BY conv_id, speaker, block""")
+def op9_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from floegrid.llm.chat import perspectives
+    return perspectives(table(spark, sf_dir, "conversations")).drop("dialogue")
+
+
+def _url_sql() -> str:
+    """The URL filter in DuckDB, with the same whole-number weights."""
+    from floegrid.llm.urls import BUCKETS, RULES, SIZES, train
+    bias, weights = train()
+    parts = []
+    for points, salt in (("hp", 11), ("pp", 29)):
+        for n in SIZES:
+            h = str(salt + n)
+            for k in range(n):
+                h = f"(({h} * 1009 + {points}[i + {k + 1}]) % 1000003)"
+            parts.append(f"coalesce(list_sum(list_transform(range(0, greatest(len({points}) - {n - 1}, 0)), lambda i: w[1 + {h} % {BUCKETS}])), 0)")
+    rules = sorted(RULES, key=lambda r: -len(r[0]) - len(r[1]))
+
+    def cases(value) -> str:
+        return "CASE " + " ".join(f"WHEN (host = '{r[0]}' OR ends_with(host, '.{r[0]}')) AND starts_with(path, '{r[1]}') THEN '{value(r)}'"
+                                  for r in rules) + " END"
+    unit = "CASE WHEN unicode(substr({0}, i, 1)) < 65536 THEN unicode(substr({0}, i, 1)) ELSE 55296 + ((unicode(substr({0}, i, 1)) - 65536) // 1024) END"
+    return f"""
+WITH a AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+b AS (SELECT page_id, rest, coalesce(regexp_extract(rest, '^[^/?#]*'), '') AS raw FROM a),
+c AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+             coalesce(regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*'), '') AS path FROM b),
+d AS (SELECT *, list_transform(range(1, length(host) + 1), lambda i: {unit.format('host')}) AS hp,
+             list_transform(range(1, length(path) + 1), lambda i: {unit.format('path')}) AS pp FROM c),
+e AS (SELECT d.*, {' + '.join(parts)} + {bias} AS score FROM d, (SELECT {weights}::BIGINT[] AS w))
+SELECT page_id, host, path, {cases(lambda r: r[0] + r[1])} AS rule,
+       coalesce({cases(lambda r: r[2])}, CASE WHEN score > 0 THEN 'block' ELSE 'allow' END) AS verdict FROM e"""
+
+
+@query("op10_urls", _url_sql())
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from floegrid.llm.urls import filter_urls
+    return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
