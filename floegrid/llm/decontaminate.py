@@ -182,7 +182,8 @@ def find_benchmark(docs: DataFrame, items: DataFrame, text: str = "text", item_k
     hits = (found.withColumn("hit_spans", merged).drop("spans")
             .withColumn("n_hit", F.expr("aggregate(hit_spans, 0L, (n, s) -> n + s.last - s.first + 1)")))
     counted = grams.select("_k1", "_k2", "n_words").dropDuplicates(["_k1", "_k2"])
-    results = (counted.join(hits, ["_k1", "_k2"], "left")
+    # Written, so that the join with the documents shuffles both sides and the runtime can split a text of very many copies.
+    results = cut(counted.join(hits, ["_k1", "_k2"], "left")
                .select("_k1", "_k2", F.col("n_words"), F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
                        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
                        F.coalesce("item_ids", F.expr("cast(array() AS array<string>)")).alias("item_ids"), "hit_spans"))

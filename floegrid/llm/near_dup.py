@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from floegrid.llm.tables import cut, cut_by, text_key
+from floegrid.llm.tables import cut, text_key
 from floegrid.llm.text import SPACE, chunks, mix, pair, texts_words, word_table
 
 BANDS = 50
@@ -172,7 +172,7 @@ def most_different(threshold: float) -> int:
 def confirmed(pairs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets have 100 * intersection >= percent * union. members: (node, _text)."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = cut_by(full_sets(members.join(wanted, "node"), size), "node")
+    sets = cut(full_sets(members.join(wanted, "node"), size))
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b"))
     common = F.size(F.array_intersect("ga", "gb"))
@@ -205,7 +205,7 @@ def hidden_pairs(bands: DataFrame, sketches: DataFrame, labels: DataFrame, thres
     members, and each pair of blocks is one task's work.
     """
     labelled = bands.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = (labelled.groupBy("band").agg(F.min("label").alias("_x"), F.max("label").alias("_y"), F.count(F.lit(1)).alias("_n"))
+    mixed = cut(labelled.groupBy("band").agg(F.min("label").alias("_x"), F.max("label").alias("_y"), F.count(F.lit(1)).alias("_n"))
              .where((F.col("_x") != F.col("_y")) & (F.col("_n") > 2))
              .select("band", F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks")))
     rows = (labelled.join(mixed, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -240,10 +240,11 @@ def assign(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id
     """One row for each row of `docs`: _k1, _k2, _k3, _id, n_shingles, group (null without words), component_id, kept."""
     base = _keyed(docs, key, text).select(*KEYS, F.col(key).alias("_id"), F.col(text).alias("_text"))
     rows = cut(signatures(base, size))
-    signed = cut_by(rows.where(F.size("bands") > 0).groupBy("node")
-                    .agg(F.first(F.struct("bands", "sketch")).alias("s")).select("node", "s.bands", "s.sketch"), "node")
+    signed = cut(rows.where(F.size("bands") > 0).groupBy("node")
+                    .agg(F.first(F.struct("bands", "sketch")).alias("s")).select("node", "s.bands", "s.sketch"))
     each = signed.select("node", F.explode("bands").alias("band"))
-    centres = (each.groupBy("band").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("c"),
+    # Tables that are joined to a crowded key are written first: then both sides are shuffled and the runtime can split it.
+    centres = cut(each.groupBy("band").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("c"),
                                         F.count(F.lit(1)).alias("_n"))
                .where("_n > 1").select("band", F.col("c.node").alias("c")))
     crowded = cut(each.join(centres, "band"))
@@ -265,7 +266,7 @@ def assign(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id
         labels = components(links)
     named = (rows.drop("bands", "sketch").join(labels, "node", "left")
              .withColumn("group", F.when(F.col("node") != 0, F.coalesce("label", "node"))).drop("node", "label"))
-    least = named.groupBy("group").agg(F.min("_id").alias("component_id"))
+    least = cut(named.groupBy("group").agg(F.min("_id").alias("component_id")))
     return (named.join(least.where(F.col("group").isNotNull()), "group", "left")
             .withColumn("component_id", F.when(F.col("group").isNull(), F.col("_id")).otherwise(F.col("component_id")))
             .withColumn("kept", F.col("_id").eqNullSafe(F.col("component_id"))))

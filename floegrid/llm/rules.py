@@ -107,6 +107,7 @@ def judge(docs: DataFrame, text: str = "text", host: str = "source", max_rate: f
              .withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
                          | (100 * F.col("n_repeat_words") > REPEATED_PERCENT * F.col("n_words"))))
     rated = cut(rated)
-    verdicts = host_verdicts(rated, host, max_rate).withColumnRenamed(host, "_host")
+    # Written, so that the join shuffles both sides and the runtime can split a host with very many documents.
+    verdicts = cut(host_verdicts(rated, host, max_rate)).withColumnRenamed(host, "_host")
     return (rated.join(verdicts, rated[host].eqNullSafe(verdicts["_host"]), "left").drop("_host")
             .withColumn("kept", ~F.col("base_failed") & F.col("host_kept")))

@@ -380,9 +380,10 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     spark = texts.sparkSession
     rows = cut(anchor_rows(texts.where(F.octet_length("text") >= length)))
     each = rows.select("k1", "k2", "copies", F.posexplode("prints").alias("i", "print"))
-    often = (each.groupBy("print").agg(F.sum("copies").alias("_n"), F.count(F.lit(1)).alias("_rows"))
-             .where(F.col("_n") > 1)
-             .select("print", F.ceil(F.col("_rows") / RANGE_ROWS).cast("int").alias("parts")))
+    # Written, so that the join below shuffles both sides and the runtime can split a print that a third of the texts have.
+    often = cut(each.groupBy("print").agg(F.sum("copies").alias("_n"), F.count(F.lit(1)).alias("_rows"))
+                .where(F.col("_n") > 1)
+                .select("print", F.ceil(F.col("_rows") / RANGE_ROWS).cast("int").alias("parts")))
     hits = (each.select("k1", "k2", "i", "print").join(often, "print")
             .groupBy("k1", "k2").agg(F.collect_list(F.struct("i", "parts")).alias("hits")))
     kept = hits.join(rows, ["k1", "k2"]).mapInArrow(
