@@ -2,16 +2,18 @@
 
 1. A document's set is its distinct word shingles. Documents with equal sets are one class from here on, so exact copies cost one
    row each and never meet each other.
-2. BANDS x ROWS MinHash values are taken per class. Classes that agree in all rows of a band share a bucket. Each bucket has a centre (the least
-   hash of class and band, so a large group has another centre in each band) and its members are candidates with the centre only.
+2. BANDS x ROWS MinHash values are taken per class. Classes that agree in all rows of a band share a bucket. Each bucket has a centre, the member
+   with the most neighbours over all its buckets (the text that the others are copies of, as a rule), and its members are
+   candidates with the centre only.
 3. The MinHash samples are also folded into an odd sketch: every sample flips one bit of a bitmap. The number of bits in which
    two sketches differ estimates how many samples differ, most precisely for high similarities. A candidate goes on only if the
    estimate is within MARGIN of the threshold, which is more than six standard errors.
 4. Remaining candidates are confirmed on the full sets, and confirmed links are joined to components.
-5. Buckets that still hold several components can hide links between members that are no centre. All their pairs of classes of different
-   components are estimated in blocks by their sketches; only pairs that pass are written, confirmed and joined.
+5. Buckets that still hold several components can hide links between members that are no centre. They are worked on in blocks: pairs
+   of different components whose sketches allow it, most alike first, are confirmed on the full sets inside the task,
+   each pair in the first bucket that it shares, until the two components are linked. Only links leave the task.
 
-No pairs of a group are expanded: a group of n classes makes n candidates in a band. A pair at the threshold shares no band with a
+No pairs of a group are written: a group of n classes makes n candidates in a band. A pair at the threshold shares no band with a
 chance of (1 - s^ROWS)^BANDS: 2.5e-7 at s = 0.8.
 
 Defined results: documents without words or text are linked with nothing and kept; rows with equal sets are linked;
@@ -34,7 +36,7 @@ ROWS = 6
 SKETCH_WORDS = 16
 MARGIN = 0.15
 KEYS = ["_k1", "_k2", "_k3"]
-BLOCK = 2048
+BLOCK = 1024
 _SEEDS = np.random.default_rng(77).integers(1, 1 << 32, (2, BANDS * ROWS), dtype=np.uint32) | np.uint32(1)
 
 
@@ -169,10 +171,8 @@ def most_different(threshold: float) -> int:
     return int(m / 2 * (1 - np.exp(-4 * k * (1 - threshold + MARGIN) / m)))
 
 
-def confirmed(pairs: DataFrame, members: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets have 100 * intersection >= percent * union. members: (node, _text)."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = cut(full_sets(members.join(wanted, "node"), size))
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b"))
     common = F.size(F.array_intersect("ga", "gb"))
@@ -198,36 +198,55 @@ def components(links: DataFrame, label: str = "label") -> DataFrame:
             return labels.withColumnRenamed("l", label)
 
 
-def hidden_pairs(bands: DataFrame, sketches: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of different components in one bucket whose sketches allow the threshold.
+def hidden_links(crowded: DataFrame, signed: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links (a, b) between members of different components that share a bucket.
 
-    bands: (band, node) of buckets with two members or more. A crowded bucket is cut into blocks of BLOCK
+    crowded: (band, node) of buckets with two members or more. A large bucket is cut into blocks of about BLOCK
     members, and each pair of blocks is one task's work.
     """
-    labelled = bands.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    labelled = crowded.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = cut(labelled.groupBy("band").agg(F.min("label").alias("_x"), F.max("label").alias("_y"), F.count(F.lit(1)).alias("_n"))
-             .where((F.col("_x") != F.col("_y")) & (F.col("_n") > 2))
-             .select("band", F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks")))
+                .where((F.col("_x") != F.col("_y")) & (F.col("_n") > 2))
+                .select("band", F.ceil(F.col("_n") / BLOCK).cast("int").alias("blocks")))
     rows = (labelled.join(mixed, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+            .join(signed, "node").join(sets, "node")
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "node", "label")
-            .join(sketches, "node"))
-    least = most_different(threshold)
+            .select("band", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "node", "label",
+                    "bands", "sketch", "grams"))
+    least = most_different(percent / 100)
 
     def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(list(batches))
         node, label, own = (rows.column(c).to_numpy() for c in ("node", "label", "own"))
-        sketch = np.stack(rows.column("sketch").to_pylist()).astype(np.int64).view(np.uint64)
-        p, q = key[1].as_py(), key[2].as_py()
+        sketch = np.stack(rows.column("sketch").to_numpy()).view(np.uint64)
+        bands, grams = np.stack(rows.column("bands").to_numpy()), rows.column("grams").to_numpy()
+        band, p, q = (k.as_py() for k in key)
         left, right = np.flatnonzero(own == p), np.flatnonzero(own == q)
-        for i in range(0, len(left), 64):
-            part = left[i:i + 64]
+        joined: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while joined.get(x, x) != x:
+                x = joined[x]
+            return x
+        out = []
+        for i in range(0, len(left), 32):
+            part = left[i:i + 32]
             differ = np.bitwise_count(sketch[part][:, None, :] ^ sketch[right][None, :, :]).sum(axis=2)
             x, y = np.nonzero((differ <= least) & (label[part][:, None] != label[right][None, :]))
-            a, b = node[part][x], node[right][y]
-            ok = a < b if p == q else np.ones(len(a), bool)
-            if ok.any():
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[ok]), pa.array(np.maximum(a, b)[ok])], names=["a", "b"])
+            if p == q:
+                x, y = x[part[x] < right[y]], y[part[x] < right[y]]
+            for k in np.argsort(differ[x, y], kind="stable"):
+                a, b = part[x[k]], right[y[k]]
+                ra, rb = find(label[a]), find(label[b])
+                if ra == rb or bands[a][np.argmax(bands[a] == bands[b])] != band:
+                    continue
+                common = len(np.intersect1d(grams[a], grams[b], assume_unique=True))
+                if 100 * common >= percent * (len(grams[a]) + len(grams[b]) - common):
+                    joined[ra] = rb
+                    out.append((min(node[a], node[b]), max(node[a], node[b])))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64())],
+                                             names=["a", "b"])
     return rows.groupBy("band", "p", "q").applyInArrow(run, "a long, b long").distinct()
 
 
@@ -241,29 +260,27 @@ def assign(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id
     base = _keyed(docs, key, text).select(*KEYS, F.col(key).alias("_id"), F.col(text).alias("_text"))
     rows = cut(signatures(base, size))
     signed = cut(rows.where(F.size("bands") > 0).groupBy("node")
-                    .agg(F.first(F.struct("bands", "sketch")).alias("s")).select("node", "s.bands", "s.sketch"))
+                 .agg(F.first(F.struct("bands", "sketch")).alias("s")).select("node", "s.bands", "s.sketch"))
     each = signed.select("node", F.explode("bands").alias("band"))
     # Tables that are joined to a crowded key are written first: then both sides are shuffled and the runtime can split it.
-    centres = cut(each.groupBy("band").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("c"),
-                                        F.count(F.lit(1)).alias("_n"))
-               .where("_n > 1").select("band", F.col("c.node").alias("c")))
-    crowded = cut(each.join(centres, "band"))
-    found = cut(likely(crowded.where("node <> c").select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b"))
-                       .distinct(), signed, percent / 100))
-
-    def texts_of(pairs: DataFrame) -> DataFrame:
-        """Text of one row for each node of the pairs; which one does not matter, as their sets are equal."""
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        one = (rows.where(F.size("bands") > 0).join(wanted, "node").groupBy("node")
-               .agg(F.min(F.struct(*KEYS)).alias("k")).select("node", "k.*"))
-        return base.select(*KEYS, "_text").join(one, KEYS).select("node", "_text")
-    links = cut(confirmed(found, texts_of(found), size, percent))
+    full = cut(each.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    crowded = cut(each.join(full, "band"))
+    rank = cut(crowded.groupBy("node").agg(F.sum("n").alias("neighbours")))
+    centres = cut(crowded.join(rank, "node").groupBy("band").agg(F.max(F.struct("neighbours", "node")).alias("c"))
+                  .select("band", F.col("c.node").alias("c")))
+    found = cut(likely(crowded.join(centres, "band").where("node <> c")
+                       .select(F.least("node", "c").alias("a"), F.greatest("node", "c").alias("b")).distinct(),
+                       signed, percent / 100))
+    # Text of one row for each node in a bucket; which one does not matter, as their sets are equal.
+    one = (rows.where(F.size("bands") > 0).join(rank, "node").groupBy("node")
+           .agg(F.min(F.struct(*KEYS)).alias("k")).select("node", "k.*"))
+    texts = base.select(*KEYS, "_text").join(one, KEYS).groupBy("node").agg(F.first("_text").alias("_text"))
+    sets = cut(full_sets(texts, size))
+    links = cut(confirmed(found, sets, percent))
     labels = components(links)
-    hidden = cut(hidden_pairs(crowded.select("band", "node"), signed.select("node", "sketch"), labels, percent / 100)
-                 .join(found, ["a", "b"], "left_anti"))
+    hidden = cut(hidden_links(crowded.select("band", "node"), signed, sets, labels, percent))
     if hidden.limit(1).count():
-        links = cut(links.unionByName(confirmed(hidden, texts_of(hidden), size, percent)))
-        labels = components(links)
+        labels = components(cut(links.unionByName(hidden)))
     named = (rows.drop("bands", "sketch").join(labels, "node", "left")
              .withColumn("group", F.when(F.col("node") != 0, F.coalesce("label", "node"))).drop("node", "label"))
     least = cut(named.groupBy("group").agg(F.min("_id").alias("component_id")))
