@@ -71,6 +71,10 @@ def _user_regex(regex: str) -> tuple[str, int]:
     return re.sub(r"\(\?P<\w+>", "(", regex), group
 
 
+# ISO dates and times; a bare clock time or year is none, although a cast would take it.
+ISO_TIME = (r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?([zZ]|[+-]\d{2}(:?\d{2})?)?)?$")
+
+
 def acq_time(name: Column, mtime: Column | None = None, regex: str | None = None) -> Column:
     """Acquisition time read from a file name, falling back to the modification time.
 
@@ -84,7 +88,7 @@ def acq_time(name: Column, mtime: Column | None = None, regex: str | None = None
         parsed = (F.when(F.length(text) == 8, F.try_to_timestamp(text, F.lit("yyyyMMdd")))
                   .when((F.length(text) == 15) & text.contains("T"),
                         F.try_to_timestamp(text, F.lit("yyyyMMdd'T'HHmmss")))
-                  .otherwise(text.try_cast("timestamp")))
+                  .when(text.rlike(ISO_TIME), text.try_cast("timestamp")))
         parsed = parsed if group else F.lit(None).cast("timestamp")
         found = F.when(name.rlike(java), parsed).otherwise(found)
     return found if mtime is None else F.coalesce(found, mtime)

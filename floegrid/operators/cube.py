@@ -5,6 +5,9 @@ Data are partitioned by collection, date and slice, and written with dynamic par
 overwrite: a rewritten slice replaces itself and nothing else, and dates that are kept are never
 touched. Every slice also holds one marker row without a position, sorted first, so that a
 slice without data stays visible and one write makes data and slice appear together.
+
+A rebuild on a larger grid writes a new version of the collection's data beside the old one and then replaces
+the collection's row in `meta`, which names the version. Until then readers see the old data, and a rebuild that failed starts afresh.
 """
 
 from __future__ import annotations
@@ -17,13 +20,12 @@ from floegrid.functions.fields import valid
 from floegrid.functions.grids import cell_offset
 from floegrid.operators.dates import keep_dates, newest_dates, sync_diff
 from floegrid.operators.stats import slice_stats, union_bounds, union_grid
-from floegrid.session import checkpoint_dir
 
 PARTITION = ["collection", "acq_date", "slice"]
 GRID_COLUMNS = ["west", "south", "east", "north", "resolution", "width", "height", "crs", "nodata"]
 META_SCHEMA = ("collection string, west double, south double, east double, north double, "
                "resolution double, width bigint, height bigint, crs string, nodata double, "
-               "created timestamp, source_files_count bigint")
+               "created timestamp, source_files_count bigint, version int")
 
 
 def bounds_contain(outer: Sequence[Column], inner: Sequence[Column], tol: float = 1e-6) -> Column:
@@ -135,9 +137,24 @@ class Cube:
         hpath = jvm.org.apache.hadoop.fs.Path(path)
         return hpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), hpath
 
+    def _versions(self) -> dict[str, int]:
+        """Version of each collection that was rebuilt; one entry per collection at most."""
+        return {r[0]: r[1] for r in self.meta().where("version > 0").select("collection", "version").collect()}
+
+    @staticmethod
+    def _table(version: int) -> str:
+        return f"data-v{version}" if version else "data"
+
     def _rows(self) -> DataFrame:
-        return self._read("data", f"{self.LAYOUTS[self.layout]}, collection string, acq_date date, "
-                                  "slice string")
+        schema = f"{self.LAYOUTS[self.layout]}, collection string, acq_date date, slice string"
+        moved = self._versions()
+        rows = self._read("data", schema)
+        if moved:
+            rows = rows.where(~F.col("collection").isin(list(moved)))
+        for version in sorted(set(moved.values())):
+            own = [c for c, v in moved.items() if v == version]
+            rows = rows.unionByName(self._read(self._table(version), schema).where(F.col("collection").isin(own)))
+        return rows
 
     @property
     def place(self) -> list[str]:
@@ -164,34 +181,64 @@ class Cube:
         (frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .option("compression", "zstd").partitionBy(*partition).parquet(f"{self.root}/{table}"))
 
-    def write_meta(self, collection: str, grid: DataFrame, source_files: int) -> None:
+    def write_meta(self, collection: str, grid: DataFrame, source_files: int, version: int = 0) -> None:
         row = grid.select(F.lit(collection).alias("collection"), *GRID_COLUMNS,
                           F.current_timestamp().alias("created"),
-                          F.lit(source_files).cast("bigint").alias("source_files_count"))
+                          F.lit(source_files).cast("bigint").alias("source_files_count"),
+                          F.lit(version).cast("int").alias("version"))
         self._write(row, "meta", ["collection"])
 
-    def write_slices(self, data: DataFrame, times: DataFrame) -> None:
+    @staticmethod
+    def slice_keys() -> dict[str, Column]:
+        """Partition of a time; a part of a second is in the name, so two times never share a slice."""
+        name = F.regexp_replace(F.date_format("acq_time", "HHmmss.SSSSSS"), r"\.0{6}$", "")
+        return {"acq_date": F.to_date("acq_time"), "slice": name}
+
+    def merge_slices(self, data: DataFrame, times: DataFrame) -> None:
+        """Like `write_slices`, but stored cells of the touched slices stay where `data` has none.
+
+        The stored side is joined on its partition columns, so only the touched slices are read.
+        """
+        touched = times.select("collection", "acq_time").distinct().withColumns(self.slice_keys())
+        held = self.data().join(touched, [*PARTITION, "acq_time"], "left_semi")
+        columns = [c for c in data.columns if c in held.columns and c not in ("acq_date", "slice")]
+        kept = held.join(data.select("collection", "acq_time", *self.place), ["collection", "acq_time", *self.place], "left_anti")
+        self.write_slices(kept.select(*columns).unionByName(data.select(*columns)), times)
+
+    def write_slices(self, data: DataFrame, times: DataFrame, version: int | None = None) -> None:
         """Write slices named by `times` (collection, acq_time), with or without data.
 
         The rebalance hint lets the runtime split a slice that holds most of the data over many
         tasks and files.
         """
+        if version is None:
+            moved = self._versions()
+            for v in sorted(set(moved.values())):
+                own = F.col("collection").isin([c for c, x in moved.items() if x == v])
+                self.write_slices(data.where(own), times.where(own), v)
+            if moved:
+                rest = ~F.col("collection").isin(list(moved))
+                data, times = data.where(rest), times.where(rest)
+            version = 0
         named = times.select("collection", "acq_time").distinct()
         schema = self._rows().schema
         body = data.join(named, ["collection", "acq_time"], "left_semi")
-        keyed = {"acq_date": F.to_date("acq_time"), "slice": F.date_format("acq_time", "HHmmss")}
         marked = (body.select("collection", "acq_time", *[c for c in schema.names if c in body.columns
                                                           and c not in (*PARTITION, "acq_time")])
-                  .unionByName(named, allowMissingColumns=True).withColumns(keyed))
+                  .unionByName(named, allowMissingColumns=True).withColumns(self.slice_keys()))
         rows = marked.select(*[F.col(f.name).cast(f.dataType) for f in schema])
         self._write(rows.hint("rebalance", *PARTITION).sortWithinPartitions(*PARTITION, *self.place),
-                    "data", PARTITION)
+                    self._table(version), PARTITION)
 
     def drop_dates(self, collection: str, dates: list) -> None:
         """Remove the partitions of some dates; a metadata operation."""
+        table = self._table(self._versions().get(collection, 0))
         for day in dates:
-            fs, hpath = self._fs(f"{self.root}/data/collection={collection}/acq_date={day}")
-            fs.delete(hpath, True)
+            self._delete(f"{table}/collection={collection}/acq_date={day}")
+
+    def _delete(self, folder: str) -> None:
+        fs, hpath = self._fs(f"{self.root}/{folder}")
+        fs.delete(hpath, True)
 
     def _dates(self, frame: DataFrame) -> list:
         """Dates of one collection; a few thousand values at most."""
@@ -216,7 +263,10 @@ class Cube:
 
     def upsert(self, collection: str, rasters: DataFrame, cells: DataFrame,
                allow_expansion: bool = True) -> str:
-        """Place rasters on the cube's grid, building or enlarging it as needed (cell layout)."""
+        """Place rasters on the cube's grid, building or enlarging it as needed (cell layout).
+
+        Cells of a time that is stored already are merged with it: the new rasters are painted last.
+        """
         mode = self.plan_upsert(collection, rasters, allow_expansion)
         held = self.meta().where(F.col("collection") == collection)
         times = rasters.select("collection", "acq_time")
@@ -236,23 +286,23 @@ class Cube:
                                                           "value", "ord")
         painted = (placed.groupBy("collection", "acq_time", "row", "col")
                    .agg(F.max_by("value", "ord").alias("value")))
+        if mode == "append":
+            self.merge_slices(painted, times)
+            return mode
+        version = self._versions().get(collection, 0)
         if mode == "rebuild":
             stored = self.data().where(F.col("collection") == collection)
-            moved = expand_cells(stored, held, grid).select("collection", "acq_time", "row", "col",
-                                                            "value")
-            gone = self._dates(self.slices().where(F.col("collection") == collection)
-                               .join(moved.select("acq_time").distinct(), "acq_time", "left_anti"))
-            painted = moved.join(times.distinct(), ["collection", "acq_time"], "left_anti"
-                                 ).unionByName(painted)
-            checkpoint_dir(self.spark)
-            times = (moved.select("collection", "acq_time").unionByName(times).distinct().checkpoint())
-            self.write_slices(painted, times)
-            written = set(self._dates(times.withColumn("acq_date", F.to_date("acq_time"))))
-            self.drop_dates(collection, [d for d in gone if d not in written])
-        else:
-            self.write_slices(painted, times)
-        if mode != "append":
-            self.write_meta(collection, grid, rasters.count())
+            moved = expand_cells(stored, held, grid).select("collection", "acq_time", "row", "col", "value")
+            kept = moved.join(painted.select("acq_time", "row", "col"), ["acq_time", "row", "col"], "left_anti")
+            times = self.slices().where(F.col("collection") == collection).select("collection", "acq_time").unionByName(times)
+            # Nothing reads the next version before its row is in `meta`; what a failed rebuild left there goes first.
+            self._delete(f"{self._table(version + 1)}/collection={collection}")
+            self.write_slices(kept.unionByName(painted), times, version + 1)
+            self.write_meta(collection, grid, rasters.count(), version + 1)
+            self._delete(f"{self._table(version)}/collection={collection}")
+            return mode
+        self.write_slices(painted, times, version)
+        self.write_meta(collection, grid, rasters.count(), version)
         return mode
 
     def sync(self, collection: str, desired: DataFrame, new: DataFrame, new_times: DataFrame) -> dict:

@@ -97,9 +97,30 @@ def grid_chunk_no(stride: int, grid: Grid = ARCTIC_10KM, size: int = CHUNK_ROWS,
 
 
 def pending_chunks(chunks: DataFrame, state: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose batch is not loaded yet. State: keys, chunks_done."""
-    return (chunks.join(state.select(*keys, "chunks_done"), list(keys), "left")
-            .where(F.col("chunk") >= F.coalesce("chunks_done", F.lit(0))).drop("chunks_done"))
+    """Rows whose batch is not loaded yet.
+
+    State: keys, chunks_done and, where it is kept, n_chunks. A key whose number of batches has changed since is
+    loaded from the start.
+    """
+    known = state if "n_chunks" in state.columns else state.withColumn("n_chunks", F.lit(None).cast("long"))
+    total = chunks.groupBy(*keys).agg((F.max("chunk") + 1).alias("_total"))
+    start = F.when(F.col("n_chunks").isNull() | (F.col("n_chunks") == F.col("_total")), F.col("chunks_done")).otherwise(0)
+    starts = (total.join(known.select(*keys, "chunks_done", "n_chunks"), list(keys), "left")
+              .select(*keys, F.coalesce(start, F.lit(0)).alias("_start")))
+    return chunks.join(starts, list(keys)).where(F.col("chunk") >= F.col("_start")).drop("_start")
+
+
+def load_modes(pending: DataFrame, existing: DataFrame, dataset: str, key: str) -> DataFrame:
+    """Each pending batch with its `mode`: the first batch of a data set that does not exist yet recreates it, all others append.
+
+    `existing` holds the names of data sets; the result has one row per data set, key and batch.
+    """
+    batches = pending.groupBy(dataset, key, "chunk").agg(F.count(F.lit(1)).alias("n_rows"))
+    first = (batches.groupBy(dataset).agg(F.min(F.struct(key, "chunk")).alias("_first"))
+             .join(existing.select(dataset).distinct(), dataset, "left_anti"))
+    same = F.struct(key, "chunk") == F.col("_first")
+    return (batches.join(first, dataset, "left")
+            .withColumn("mode", F.when(same & (F.col("chunk") == 0), "recreate").otherwise("append")).drop("_first"))
 
 
 def glyph_segments(vectors: DataFrame, grid: Grid = ARCTIC_10KM,

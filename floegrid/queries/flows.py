@@ -10,7 +10,7 @@ from floegrid.functions.grids import ARCTIC_10KM, Grid
 from floegrid.operators import mosaic as M, tiles as T
 from floegrid.operators.cube import Cube
 from floegrid.operators.geocode import geocode_tiles
-from floegrid.operators.lod import chunk_no, pending_chunks
+from floegrid.operators.lod import chunk_no, load_modes, pending_chunks
 from floegrid.operators.stats import merge_bounds, union_bounds
 from floegrid.plans.bindings import BINDINGS, bind, cte, read_table
 from floegrid.queries import query
@@ -200,14 +200,31 @@ def catalog_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {cte('wind_b')},
 c AS (SELECT acq_date, event_id, CAST((row_number() OVER (PARTITION BY acq_date ORDER BY row_, col_, event_id) - 1) // 50 AS BIGINT) AS chunk
   FROM wind_b)
-SELECT acq_date, event_id, chunk FROM c WHERE chunk >= CASE WHEN day(acq_date) % 2 = 0 THEN day(acq_date) % 5 ELSE 0 END""")
+SELECT acq_date, event_id, chunk FROM c WHERE chunk >= CASE WHEN day(acq_date) % 4 = 0 THEN day(acq_date) % 5 ELSE 0 END""")
 def pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Batches left to load where even days have some done already."""
+    """Batches left to load where even days have some done already, half of them of a load with another number of batches."""
     rows = bind(spark, sf_dir, "wind_b")
     chunks = chunk_no(rows, ["acq_date"], ["row_", "col_", "event_id"], size=50)
-    state = (rows.select("acq_date").distinct().where("day(acq_date) % 2 = 0")
-             .withColumn("chunks_done", F.expr("day(acq_date) % 5")))
-    return pending_chunks(chunks, state, ["acq_date"]).select("acq_date", "event_id", "chunk")
+    return pending_chunks(chunks, load_state(rows), ["acq_date"]).select("acq_date", "event_id", "chunk")
+
+
+def load_state(rows: DataFrame) -> DataFrame:
+    return (rows.groupBy("acq_date").agg(F.ceil(F.count(F.lit(1)) / 50).alias("n_chunks")).where("day(acq_date) % 2 = 0")
+            .withColumns({"chunks_done": F.expr("day(acq_date) % 5"), "n_chunks": F.expr("n_chunks + if(day(acq_date) % 4 = 0, 0, 1)")}))
+
+
+@query("load_modes", f"""
+WITH {cte('listing_b')},
+c AS (SELECT collection, acq_date, CAST((row_number() OVER (PARTITION BY collection, acq_date ORDER BY ord) - 1) // 50 AS BIGINT) AS chunk FROM listing_b),
+b AS (SELECT collection, acq_date, chunk, count(*) AS n_rows FROM c GROUP BY ALL)
+SELECT collection, acq_date, chunk, n_rows, CASE WHEN collection NOT IN ('click', 'view') AND chunk = 0
+  AND acq_date = min(acq_date) OVER (PARTITION BY collection) THEN 'recreate' ELSE 'append' END AS mode FROM b""")
+def modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of every collection where two of the data sets exist already."""
+    rows = bind(spark, sf_dir, "listing_b")
+    chunks = chunk_no(rows, ["collection", "acq_date"], ["ord"], size=50)
+    return load_modes(chunks, rows.where("collection IN ('click', 'view')"), "collection", "acq_date").select(
+        "collection", "acq_date", "chunk", "n_rows", "mode")
 
 
 @query("merge_bounds", f"""

@@ -66,33 +66,39 @@ def stream_upsert_cube(cells: DataFrame, cube: Cube, checkpoint: str,
         keys = ["collection", "acq_time", *place]
         best = F.max_by(F.struct(*value), F.col(order)) if order else F.max(F.struct(*value))
         fresh = batch.groupBy(*keys).agg(best.alias("_v")).select(*keys, "_v.*")
-        times = fresh.select("collection", "acq_time").distinct()
-        stored = (cube.data().select(*keys, *value)
-                  .join(times, ["collection", "acq_time"], "left_semi")
-                  .join(fresh.select(*keys), keys, "left_anti"))
-        cube.write_slices(stored.unionByName(fresh), times)
+        cube.merge_slices(fresh, fresh.select("collection", "acq_time"))
     return _run(cells, checkpoint, sink)
 
 
 def stream_lod(points: DataFrame, path: str, checkpoint: str, grid: Grid = ARCTIC_10KM,
                strides: Sequence[int] = STRIDES, size: int = CHUNK_ROWS) -> StreamingQuery:
-    """Tiered points with their batch numbers, one folder per stream batch.
+    """Points under `points` and their tiers with batch numbers under `tiers`.
 
-    The stream checkpoint is the load state and the batch id the idempotence key, so a restart
-    resumes at the batch that failed.
+    A date may arrive in several stream batches: each batch stores its points, and the tiers of the dates it touches are
+    made again from all points stored for them. The stream checkpoint is the load state and the batch id the idempotence
+    key, so a restart resumes at the batch that failed.
     """
+    columns = points.columns
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        tiers = lod_tiers(batch, strides, expected=grid.n_cells)
+        spark = batch.sparkSession
+        _overwrite(batch.select(*columns).withColumn("batch", F.lit(batch_id)), f"{path}/points", "acq_date", "batch")
+        held = spark.read.schema(points.schema).option("basePath", f"{path}/points").parquet(f"{path}/points")
+        days = batch.select("acq_date").distinct()
+        whole = held.select(*columns).join(days, "acq_date", "left_semi").dropDuplicates(["acq_date", "row", "col"])
         chunk = F.lit(None).cast("long")
         for stride in strides:
             chunk = F.when(F.col("tier") == stride, grid_chunk_no(stride, grid, size)).otherwise(chunk)
-        (tiers.withColumns({"chunk": chunk, "batch": F.lit(batch_id)})
-         .hint("rebalance", "tier", "acq_date")
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch", "tier", "acq_date").parquet(path))
+        tiers = lod_tiers(whole, strides, expected=grid.n_cells).withColumn("chunk", chunk)
+        _overwrite(tiers.hint("rebalance", "tier", "acq_date"), f"{path}/tiers", "tier", "acq_date")
     return _run(points, checkpoint, sink)
 
 
+def _overwrite(frame: DataFrame, path: str, *by: str) -> None:
+    """Replace the partitions that the rows touch."""
+    (frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path))
+
+
 ITEM_SCHEMA = ("id string, west double, south double, east double, north double, "
                "t_min timestamp, t_max timestamp, href string, ord long, collection string")
 
@@ -115,10 +121,6 @@ def stream_catalog(items: DataFrame, root: str, checkpoint: str) -> StreamingQue
     Input: collection, key, box, time range, href and ord. Only collections of the batch are
     rewritten.
     """
-    def overwrite(frame: DataFrame, table: str) -> None:
-        (frame.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("collection").parquet(f"{root}/{table}"))
-
     def sink(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         cols = ["id", "west", "south", "east", "north", "t_min", "t_max", "href", "ord", "collection"]
@@ -126,8 +128,8 @@ def stream_catalog(items: DataFrame, root: str, checkpoint: str) -> StreamingQue
         touched = fresh.select("collection").distinct()
         held = read_items(spark, root).join(touched, "collection", "left_semi").select(*cols)
         merged = dedupe_latest(held.unionByName(fresh), ["collection", "id"], ["ord", "href"]).select(*cols)
-        overwrite(merged, "items")
+        _overwrite(merged, f"{root}/items", "collection")
         known = read_items(spark, root, "extents").join(touched, "collection", "left_semi")
         now = read_items(spark, root).join(touched, "collection", "left_semi")
-        overwrite(collection_extent(now, known), "extents")
+        _overwrite(collection_extent(now, known), f"{root}/extents", "collection")
     return _run(items, checkpoint, sink)

@@ -105,6 +105,41 @@ def test_upsert_fresh_append_rebuild(spark, cube):
     assert (m["west"], m["north"], m["width"], m["height"]) == (-20.0, 60.0, 6, 6)
 
 
+def test_a_second_raster_of_one_time_is_merged(spark, cube):
+    one = ("2024-01-01", 1, 0.0, 0.0, 40.0, 40.0, 10.0)
+    cube.upsert("c", raster(spark, [("a", *one)]), raw(spark, [("a", 0, 0, 1.0), ("a", 3, 3, 2.0)]))
+    assert cube.upsert("c", raster(spark, [("b", *one)]), raw(spark, [("b", 0, 0, 5.0), ("b", 1, 1, 6.0)])) == "append"
+    assert content(cube) == [("2024-01-01", 0, 0, 5.0), ("2024-01-01", 1, 1, 6.0), ("2024-01-01", 3, 3, 2.0)]
+
+
+def test_a_rebuild_that_fails_can_be_repeated(spark, cube, monkeypatch):
+    """Stored cells move once, however often the rebuild is tried."""
+    a = raster(spark, [("a", "2024-01-01", 1, 0.0, 0.0, 40.0, 40.0, 10.0)])
+    cube.upsert("c", a, raw(spark, [("a", 0, 0, 1.0)]))
+    far = raster(spark, [("x", "2024-01-03", 1, -20.0, 0.0, 20.0, 60.0, 10.0)])
+
+    def fail(*_, **__):
+        raise OSError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(C.Cube, "write_meta", fail)
+        with pytest.raises(OSError):
+            cube.upsert("c", far, raw(spark, [("x", 0, 0, 9.0)]))
+    assert content(cube) == [("2024-01-01", 0, 0, 1.0)]
+    assert cube.upsert("c", far, raw(spark, [("x", 0, 0, 9.0)])) == "rebuild"
+    want = [("2024-01-01", 2, 2, 1.0), ("2024-01-03", 0, 0, 9.0)]
+    assert content(cube) == want
+    further = raster(spark, [("y", "2024-01-04", 1, -30.0, 0.0, 20.0, 70.0, 10.0)])
+    assert cube.upsert("c", further, raw(spark, [("y", 0, 0, 4.0)])) == "rebuild"
+    assert content(cube) == [("2024-01-01", 3, 3, 1.0), ("2024-01-03", 1, 1, 9.0), ("2024-01-04", 0, 0, 4.0)]
+    assert cube.retain("c", 1) and content(cube) == [("2024-01-04", 0, 0, 4.0)]
+
+
+def test_two_times_within_a_second_are_two_slices(spark, cube):
+    cube.write_slices(cells(spark, [("2024-01-01 10:00:00.25", 0, 0, 1.0)]), times(spark, "2024-01-01 10:00:00.25"))
+    cube.write_slices(cells(spark, [("2024-01-01 10:00:00.75", 0, 0, 2.0)]), times(spark, "2024-01-01 10:00:00.75"))
+    assert cube.slices().count() == 2 and len(content(cube)) == 2
+
+
 def test_raster_outside_grid_leaves_an_empty_slice(spark, cube):
     a = raster(spark, [("a", "2024-01-01", 1, 0.0, 0.0, 40.0, 40.0, 10.0)])
     cube.upsert("c", a, raw(spark, [("a", 0, 0, 1.0)]))

@@ -111,6 +111,9 @@ def test_chunk_no_matches_grid_form(spark):
     state = spark.createDataFrame([("2024-01-01", 50)], "d string, chunks_done int").select(
         F.to_date("d").alias("acq_date"), "chunks_done")
     assert L.pending_chunks(out, state, ["acq_date"]).agg(F.min("chunk")).head()[0] == 50
+    for n, first in ((54, 50), (53, 0)):
+        again = state.withColumn("n_chunks", F.lit(n))
+        assert L.pending_chunks(out, again, ["acq_date"]).agg(F.min("chunk")).head()[0] == first
 
 
 def test_coregister_needs_one_grid(spark):
