@@ -176,7 +176,7 @@ def _url_sql() -> str:
     def cases(value) -> str:
         return "CASE " + " ".join(f"WHEN (host = '{r[0]}' OR ends_with(host, '.{r[0]}')) AND starts_with(path, '{r[1]}') THEN '{value(r)}'"
                                   for r in rules) + " END"
-    unit = "CASE WHEN unicode(substr({0}, i, 1)) < 65536 THEN unicode(substr({0}, i, 1)) ELSE 55296 + ((unicode(substr({0}, i, 1)) - 65536) // 1024) END"
+    unit = "unicode(substr({0}, i, 1))"
     return f"""
 WITH a AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
 b AS (SELECT page_id, rest, coalesce(regexp_extract(rest, '^[^/?#]*'), '') AS raw FROM a),

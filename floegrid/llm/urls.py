@@ -61,16 +61,11 @@ def host_path_of(url: str) -> tuple[str, str]:
     return rest[:end].translate(str.maketrans(UPPER, LOWER)), tail[:stop]
 
 
-def unit(c: str) -> int:
-    """First UTF-16 unit of a character, which is what the SQL function `ascii` gives."""
-    return ord(c) if ord(c) < 65536 else 55296 + ((ord(c) - 65536) >> 10)
-
-
 def bucket(gram: str, salt: int) -> int:
     """A polynomial over code points that every engine can compute in whole numbers."""
     h = salt
     for c in gram:
-        h = (h * 1009 + unit(c)) % 1_000_003
+        h = (h * 1009 + ord(c)) % 1_000_003
     return h % BUCKETS
 
 
