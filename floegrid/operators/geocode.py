@@ -18,10 +18,10 @@ from floegrid.functions.grids import Grid
 from floegrid.functions.projection import EPSG3413, PolarCrs, to_polar
 from floegrid.operators.tiles import TILE_COLUMNS, VALUE, decode, encode, tile_schema
 
-# Target pixels between exact spline evaluations; values between are interpolated linearly.
+# Target pixels between exact spline evaluations to begin with; values between are interpolated linearly.
 LATTICE = 16
-# Far above any product's grid of control points; a granule beyond it is malformed.
-MAX_GCPS = 5000
+# Greatest error of that in source pixels: where the middle of a lattice cell is further off, the lattice gets finer.
+TOLERANCE = 0.02
 
 
 def project_gcps(gcps: DataFrame, crs: PolarCrs = EPSG3413) -> DataFrame:
@@ -49,8 +49,6 @@ def fit_splines(gcps: DataFrame, keys: Sequence[str] = ("granule",)) -> DataFram
         T.StructField(n, num) for n in ("px", "py", "w_row", "w_col")])
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) > MAX_GCPS:
-            raise ValueError(f"{len(pdf)} control points in one granule")
         x, y = pdf["x"].to_numpy(float), pdf["y"].to_numpy(float)
         cx, cy = x.mean(), y.mean()
         scale = max(np.ptp(x), np.ptp(y), 1e-9)
@@ -72,24 +70,34 @@ def fit_splines(gcps: DataFrame, keys: Sequence[str] = ("granule",)) -> DataFram
 
 def _image_position(rec: dict, ty: int, tx: int, h: int, w: int, tile: int, grid: Grid,
                     lattice: int) -> tuple[np.ndarray, np.ndarray]:
-    """Image row and column (corner-based) of every pixel centre of a target tile."""
-    def knots(n: int) -> np.ndarray:
-        k = np.arange(0, n, lattice)
-        return np.append(k, n - 1) if k[-1] != n - 1 else k
-    ky, kx = knots(h), knots(w)
-    gx = grid.west + (tx * tile + kx + 0.5) * grid.res_x
-    gy = grid.north - (ty * tile + ky + 0.5) * grid.res_y
-    xx, yy = np.meshgrid((gx - rec["cx"]) / rec["scale"], (gy - rec["cy"]) / rec["scale"])
-    basis = np.column_stack([_kernel(xx.ravel(), yy.ravel(), np.asarray(rec["px"]), np.asarray(rec["py"])),
-                             np.ones(xx.size), xx.ravel(), yy.ravel()])
-    out = []
-    for weights in (rec["w_row"], rec["w_col"]):
-        coarse = (basis @ np.asarray(weights)).reshape(xx.shape)
-        if lattice > 1:
-            across = np.array([np.interp(np.arange(w), kx, line) for line in coarse])
-            coarse = np.array([np.interp(np.arange(h), ky, line) for line in across.T]).T
-        out.append(coarse)
-    return out[0], out[1]
+    """Image row and column (corner-based) of every pixel centre of a target tile.
+
+    The spline is evaluated on a lattice and interpolated, and the lattice is halved until the middles of its cells are
+    within TOLERANCE; at 1 every pixel is exact.
+    """
+    def exact(rows: np.ndarray, cols: np.ndarray) -> list[np.ndarray]:
+        gx = grid.west + (tx * tile + cols + 0.5) * grid.res_x
+        gy = grid.north - (ty * tile + rows + 0.5) * grid.res_y
+        xx, yy = np.meshgrid((gx - rec["cx"]) / rec["scale"], (gy - rec["cy"]) / rec["scale"])
+        basis = np.column_stack([_kernel(xx.ravel(), yy.ravel(), np.asarray(rec["px"]), np.asarray(rec["py"])),
+                                 np.ones(xx.size), xx.ravel(), yy.ravel()])
+        return [(basis @ np.asarray(rec[name])).reshape(xx.shape) for name in ("w_row", "w_col")]
+
+    def between(values: np.ndarray, ky: np.ndarray, kx: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+        across = np.array([np.interp(cols, kx, line) for line in values])
+        return np.array([np.interp(rows, ky, line) for line in across.T]).T
+
+    while lattice > 1:
+        ky, kx = (np.unique(np.append(np.arange(0, n, lattice), n - 1)) for n in (h, w))
+        coarse = exact(ky, kx)
+        my, mx = ((k[1:] + k[:-1]) / 2 if len(k) > 1 else k for k in (ky, kx))
+        off = max(np.abs(e - between(c, ky, kx, my, mx)).max() for e, c in zip(exact(my, mx), coarse))
+        if off <= TOLERANCE:
+            r, c = (between(v, ky, kx, np.arange(h), np.arange(w)) for v in coarse)
+            return r, c
+        lattice //= 2
+    r, c = exact(np.arange(h), np.arange(w))
+    return r, c
 
 
 @F.pandas_udf(T.BinaryType())

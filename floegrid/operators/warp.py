@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -14,8 +15,6 @@ from floegrid.operators.mosaic import SLICE
 
 METHODS = ("near", "bilinear")
 # A weight table up to this size is broadcast; its rows are bounded by the target grid.
-BROADCAST_BYTES = 256 << 20
-_ROW_BYTES = 40
 # Weights below this are rounding noise of a target centre that falls on a source centre.
 NOISE = 1e-9
 
@@ -78,7 +77,8 @@ def warp_weights(spark: SparkSession, src: Grid, dst: Grid, method: str = "bilin
 
 
 def weights_table(spark: SparkSession, path: str, src: Grid, dst: Grid, method: str) -> DataFrame:
-    """The weight table kept as Parquet at a shared path, written on first use."""
+    """The weight table kept as Parquet under a shared path, written on first use; each pair of grids and method has its own folder."""
+    path = f"{path}/{method}-{hashlib.sha256(repr((src, dst)).encode()).hexdigest()[:16]}"
     jvm = spark.sparkContext._jvm
     done = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     fs = done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -87,21 +87,14 @@ def weights_table(spark: SparkSession, path: str, src: Grid, dst: Grid, method:
     return spark.read.parquet(path)
 
 
-def small_enough(dst: Grid, method: str, limit: int = BROADCAST_BYTES) -> bool:
-    return dst.n_cells * (4 if method == "bilinear" else 1) * _ROW_BYTES <= limit
-
-
 def warp(cells: DataFrame, src: Grid, dst: Grid, method: str = "bilinear",
          keys: Sequence[str] = SLICE, value: str = "value", weights: DataFrame | None = None) -> DataFrame:
     """Cells of any number of slices resampled onto the target grid.
 
-    Weights are renormalised over valid cells. The weight table is broadcast when the target
-    grid proves it small; otherwise the two sides meet on the source cell. Nearest needs no
-    aggregate at all.
+    Weights are renormalised over valid cells. The two sides meet on the source cell; whether the weight table is
+    small enough to be broadcast is left to runtime statistics. Nearest needs no aggregate at all.
     """
     w = weights if weights is not None else warp_weights(cells.sparkSession, src, dst, method)
-    if small_enough(dst, method):
-        w = F.broadcast(w)
     v = valid(F.col(value).cast("double"))
     source = cells.where(v.isNotNull()).select(
         *keys, F.col("row").alias("src_row"), F.col("col").alias("src_col"), F.col(value))

@@ -45,7 +45,8 @@ i AS (SELECT regexp_replace(regexp_extract(key_, '([^/]*)$', 1), '\\.[^.]*$', ''
 t AS (SELECT id, collection, etag, ord FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ord DESC) AS r
   FROM i WHERE ord % 2 = 0) WHERE r = 1),
 n AS (SELECT id, collection, etag, ord FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ord DESC) AS r
-  FROM i WHERE ord % 3 = 0) WHERE r = 1)
+  FROM i WHERE ord % 2 <> 0) WHERE r = 1),
+a AS (SELECT id, collection, etag, ord FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ord DESC) AS r FROM i) WHERE r = 1)
 """
 
 
@@ -59,24 +60,24 @@ SELECT * FROM t WHERE id NOT IN (SELECT id FROM n) UNION ALL SELECT * FROM n""")
 def upsert_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _items(spark, sf_dir)
     target = dedupe_latest(items.where("ord % 2 = 0"), ["id"], ["ord"])
-    return K.upsert_items(target, items.where("ord % 3 = 0"), order=["ord"])
+    return K.upsert_items(target, items.where("ord % 2 <> 0"), order=["ord"])
 
 
-@query("delete_items", _ITEMS_SQL + "SELECT * FROM t WHERE id NOT IN (SELECT id FROM i WHERE ord % 10 = 0)")
+@query("delete_items", _ITEMS_SQL + "SELECT * FROM a WHERE id NOT IN (SELECT id FROM i WHERE ord % 10 = 0)")
 def delete_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _items(spark, sf_dir)
-    target = dedupe_latest(items.where("ord % 2 = 0"), ["id"], ["ord"])
+    target = dedupe_latest(items, ["id"], ["ord"])
     return K.delete_items(target, items.where("ord % 10 = 0").select("id").distinct())
 
 
 @query("collection_extent", f"""WITH {cte('granule_b')}
 SELECT satellite, min(CASE WHEN ord % 3 = 0 THEN xmin END) AS west, min(CASE WHEN ord % 3 = 0 THEN ymin END) AS south,
   max(CASE WHEN ord % 3 = 0 THEN xmax END) AS east, max(CASE WHEN ord % 3 = 0 THEN ymax END) AS north,
-  min(acq_date) AS t_min, max(acq_date) AS t_max FROM granule_b WHERE ord % 3 < 2 GROUP BY satellite""")
+  min(acq_date) AS t_min, max(acq_date) AS t_max FROM granule_b GROUP BY satellite""")
 def collection_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = bind(spark, sf_dir, "granule_b").withColumns({"t_min": F.col("acq_date"), "t_max": F.col("acq_date")})
     items = g.where("ord % 3 = 0").withColumnsRenamed({"xmin": "west", "ymin": "south", "xmax": "east", "ymax": "north"})
-    return K.collection_extent(items, g.where("ord % 3 = 1"), ["satellite"])
+    return K.collection_extent(items, g.where("ord % 3 <> 0"), ["satellite"])
 
 
 _RING = ("'[[[' || xmin || ',' || ymin || '],[' || xmax || ',' || ymin || '],[' || xmax || ',' || ymax || '],[' ||"

@@ -34,16 +34,15 @@ def availability(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("choose_source", f"""{L},
-p AS (SELECT acq_date, count(*) AS n FROM listing_b WHERE source = 'asf' AND ord % 3 = 0 GROUP BY ALL),
-s AS (SELECT acq_date, count(*) AS n FROM listing_b WHERE source = 'cdse' AND ord % 4 = 0 AND day(acq_date) > 3 GROUP BY ALL),
+p AS (SELECT acq_date, count(*) AS n FROM listing_b WHERE source = 'asf' GROUP BY ALL),
+s AS (SELECT acq_date, count(*) AS n FROM listing_b WHERE source = 'cdse' GROUP BY ALL),
 b AS (SELECT acq_date, coalesce(p.n, 0) AS n_primary, coalesce(s.n, 0) AS n_secondary FROM p FULL JOIN s USING (acq_date))
 SELECT *, CASE WHEN n_primary >= n_secondary THEN 'asf' ELSE 'cdse' END AS source,
   greatest(n_primary, n_secondary) AS n FROM b""")
 def choose_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = listing(spark, sf_dir)
-    primary = rows.where("source = 'asf' AND ord % 3 = 0").groupBy("acq_date").agg(F.count(F.lit(1)).alias("n"))
-    secondary = (rows.where("source = 'cdse' AND ord % 4 = 0 AND day(acq_date) > 3")
-                 .groupBy("acq_date").agg(F.count(F.lit(1)).alias("n")))
+    primary = rows.where("source = 'asf'").groupBy("acq_date").agg(F.count(F.lit(1)).alias("n"))
+    secondary = rows.where("source = 'cdse'").groupBy("acq_date").agg(F.count(F.lit(1)).alias("n"))
     return D.choose_source(primary, secondary)
 
 
@@ -175,11 +174,11 @@ def keep_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT collection, acq_date, count(*) AS n FROM (
   SELECT collection, acq_date FROM listing_b WHERE collection = 'click'
   UNION ALL SELECT collection, acq_date FROM listing_b WHERE collection = 'view'
-  UNION ALL SELECT collection, acq_date FROM listing_b WHERE collection = 'error') GROUP BY ALL""")
+  UNION ALL SELECT collection, acq_date FROM listing_b WHERE collection NOT IN ('click', 'view')) GROUP BY ALL""")
 def union_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     from functools import reduce
     rows = listing(spark, sf_dir).select("collection", "acq_date")
-    parts = [rows.where(F.col("collection") == c) for c in ("click", "view", "error")]
+    parts = [rows.where(part) for part in ("collection = 'click'", "collection = 'view'", "collection NOT IN ('click', 'view')")]
     return D.granule_counts(reduce(DataFrame.unionByName, parts), ["collection", "acq_date"])
 
 

@@ -230,9 +230,9 @@ def modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("merge_bounds", f"""
 WITH {cte('granule_b')}
 SELECT satellite, min(xmin) AS west, min(ymin) AS south, max(xmax) AS east, max(ymax) AS north FROM granule_b
-WHERE ord % 3 <> 0 GROUP BY satellite""")
+GROUP BY satellite""")
 def merged_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = bind(spark, sf_dir, "granule_b").withColumns({
         "res_x": F.lit(40.0), "crs": F.lit("EPSG:3413"), "nodata": F.lit(None).cast("double")})
-    held, new = (union_bounds(g.where(f"ord % 3 = {k}"), ["satellite"]) for k in (1, 2))
+    held, new = (union_bounds(g.where(part), ["satellite"]) for part in ("ord % 3 = 1", "ord % 3 <> 1"))
     return merge_bounds(held, new, ["satellite"])

@@ -179,10 +179,6 @@ def test_overlap_index_job_and_geojson(spark, tmp_path):
     assert len(split) == 2 and all(-180 <= x <= 180 for poly in split for r in poly for x, _ in r)
     pairs = sinks.overlap_features(overlap_join(granules))
     assert json.loads(pairs.head()["value"])["id"] == f"{A}__{B}"
-    whole = json.loads(sinks.feature_collection(sinks.footprint_features(granules)).head()["value"])
-    assert whole["type"] == "FeatureCollection" and len(whole["features"]) == 3
-    with pytest.raises(Exception, match="more than 2"):
-        sinks.feature_collection(sinks.footprint_features(granules), 2).collect()
     sinks.write_features(sinks.footprint_features(granules), str(tmp_path / "geo"))
     assert sum(1 for f in os.listdir(tmp_path / "geo") if f.endswith(".txt")) >= 1
 
