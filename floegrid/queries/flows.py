@@ -20,7 +20,7 @@ from floegrid.session import checkpoint_dir
 from floegrid.sources.fields import force_grid
 from floegrid.sources.granules import GRANULE_PAGE, parse_granules
 from floegrid.sources.objects import object_refs
-from floegrid.streaming.jobs import (read_items, stream_catalog, stream_daily_counts, stream_dedupe,
+from floegrid.streaming.jobs import (read_items, stream_catalog, stream_daily_counts, stream_dedupe, stream_lod,
                                      stream_upsert_cube)
 
 
@@ -236,3 +236,104 @@ def merged_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
         "res_x": F.lit(40.0), "crs": F.lit("EPSG:3413"), "nodata": F.lit(None).cast("double")})
     held, new = (union_bounds(g.where(part), ["satellite"]) for part in ("ord % 3 = 1", "ord % 3 <> 1"))
     return merge_bounds(held, new, ["satellite"])
+
+
+_YEARLY = _MONTHLY.replace("'month'", "'year'").replace("AS month", "AS year")
+
+
+def _yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yearly cells: collection, acq_time, row, col, value."""
+    cells = bind(spark, sf_dir, "cell_b").withColumn("acq_time", F.trunc("acq_date", "year").cast("timestamp"))
+    m = M.mosaic(cells, ["acq_date", "k1", "k2", "k3", "k4"], keys=["collection", "acq_time"], cell=RC, value="dn")
+    return m.select("collection", "acq_time", F.col("row_").alias("row"), F.col("col_").alias("col"), F.col("dn").alias("value"))
+
+
+def _as_rasters(cells: DataFrame, xmin: float, ymax: float, n_rows: int) -> tuple[DataFrame, DataFrame]:
+    """One raster per slice on a grid of unit cells, and its cells counted from its own corner."""
+    name = F.concat("collection", F.lit("_"), F.date_format("acq_time", "yyyy"))
+    rasters = cells.select("collection", "acq_time").distinct().select(
+        name.alias("raster"), "collection", "acq_time", F.lit(1).alias("ord"), F.lit(xmin).alias("xmin"),
+        F.lit(ymax - n_rows).alias("ymin"), F.lit(xmin + 76).alias("xmax"), F.lit(ymax).alias("ymax"), F.lit(1.0).alias("res_x"),
+        F.lit("EPSG:3413").alias("crs"), F.lit(None).cast("double").alias("nodata"))
+    return rasters, cells.select(name.alias("raster"), "row", "col", F.col("value").cast("double").alias("value"))
+
+
+def _upsert_all(cube: Cube, cells: DataFrame, xmin: float, ymax: float, n_rows: int) -> None:
+    for collection in ("A", "N", "R"):
+        cube.upsert(collection, *_as_rasters(cells.where(F.col("collection") == collection), xmin, ymax, n_rows))
+
+
+def _stored(cube: Cube) -> DataFrame:
+    return cube.data().select("collection", "acq_date", "row", "col", F.col("value").cast("double").alias("value"))
+
+
+@query("stored_append", _YEARLY + """
+SELECT collection, year AS acq_date, row_ AS row, col_ AS col, CASE WHEN row_ >= 50 THEN dn + 100 ELSE dn END AS value
+FROM m WHERE r = 1""")
+def stored_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rasters of each year upserted one after the other; the second is painted over the first where they meet."""
+    m = _yearly(spark, sf_dir)
+    cube = Cube(spark, scratch(spark, "cube"))
+    _upsert_all(cube, m.where("row < 60"), 0.0, 112.0, 112)
+    _upsert_all(cube, m.where("row >= 50").withColumn("value", F.col("value") + 100), 0.0, 112.0, 112)
+    return _stored(cube)
+
+
+@query("stored_rebuild", _YEARLY + """
+SELECT collection, year AS acq_date, CAST(row_ + 5 AS INTEGER) AS row, CAST(col_ + CASE WHEN year(year) % 2 = 0 THEN 3 ELSE 0 END AS INTEGER) AS col,
+  dn AS value FROM m WHERE r = 1""")
+def stored_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even years first; the odd years reach further west and north, so stored cells move on a larger grid."""
+    m = _yearly(spark, sf_dir)
+    cube = Cube(spark, scratch(spark, "cube"))
+    _upsert_all(cube, m.where("year(acq_time) % 2 = 0"), 0.0, 112.0, 112)
+    _upsert_all(cube, m.where("year(acq_time) % 2 = 1").withColumn("row", F.col("row") + 5), -3.0, 117.0, 117)
+    return _stored(cube)
+
+
+@query("stored_sync", _YEARLY + """
+SELECT collection, year AS acq_date, row_ AS row, col_ AS col, dn AS value FROM m
+WHERE r = 1 AND year(year) % 4 <> 1""")
+def stored_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cube of three years in four becomes one of other three in four: some dates stay, some are added, some go."""
+    m = _yearly(spark, sf_dir)
+    cube = Cube(spark, scratch(spark, "cube"))
+    held = m.where("year(acq_time) % 4 <> 0")
+    cube.write_slices(held, held.select("collection", "acq_time"))
+    for collection in ("A", "N", "R"):
+        own = m.where(F.col("collection") == collection)
+        want = own.where("year(acq_time) % 4 <> 1").select(F.to_date("acq_time").alias("acq_date"))
+        cube.sync(collection, want, own, own.select("collection", "acq_time"))
+    return _stored(cube)
+
+
+@query("stored_retain", _YEARLY + """,
+d AS (SELECT collection, year, row_number() OVER (PARTITION BY collection ORDER BY year DESC) AS k
+  FROM (SELECT DISTINCT collection, year FROM m))
+SELECT m.collection, m.year AS acq_date, row_ AS row, col_ AS col, dn AS value FROM m JOIN d USING (collection, year)
+WHERE r = 1 AND k <= 3""")
+def stored_retain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three newest years of each collection stay in the stored cube."""
+    m = _yearly(spark, sf_dir)
+    cube = Cube(spark, scratch(spark, "cube"))
+    cube.write_slices(m, m.select("collection", "acq_time"))
+    for collection in ("A", "N", "R"):
+        cube.retain(collection, 3)
+    return _stored(cube)
+
+
+@query("stream_lod", f"""
+WITH {cte('wind_b')},
+p AS (SELECT DISTINCT acq_date, row_, col_ FROM wind_b)
+SELECT acq_date, CAST(1 AS INTEGER) AS tier, count(*) AS n, CAST(max((row_ * 760 + col_) // 25000) AS BIGINT) AS last_chunk
+FROM p GROUP BY acq_date""")
+def lod_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points in several micro-batches; no date fills the grid, so each has the full tier only."""
+    rows = bind(spark, sf_dir, "wind_b")
+    src, out = scratch(spark, "points"), scratch(spark, "tiers")
+    points = rows.select("acq_date", F.col("row_").alias("row"), F.col("col_").alias("col"))
+    points.repartition(4).write.parquet(src)
+    stream = spark.readStream.schema(points.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    stream_lod(stream, out, f"{out}/ck").awaitTermination()
+    return (spark.read.parquet(f"{out}/tiers").groupBy("acq_date", "tier")
+            .agg(F.count(F.lit(1)).alias("n"), F.max("chunk").alias("last_chunk")))
