@@ -20,7 +20,8 @@ from floegrid.session import checkpoint_dir
 from floegrid.sources.fields import force_grid
 from floegrid.sources.granules import GRANULE_PAGE, parse_granules
 from floegrid.sources.objects import object_refs
-from floegrid.streaming.jobs import (read_items, stream_catalog, stream_daily_counts, stream_dedupe, stream_lod,
+from floegrid.sources.sinks import arrow_features, write_features
+from floegrid.streaming.jobs import (read_items, stream_catalog, stream_granules, stream_daily_counts, stream_dedupe, stream_lod,
                                      stream_upsert_cube)
 
 
@@ -39,15 +40,8 @@ def stream_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return reader.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
 
 
-@query("scan_granules", _AREA_SQL + """,
-a AS (SELECT ord, abs(sum(x * y1 - x1 * y)) / 2 / 1e6 AS km2 FROM f GROUP BY ord)
-SELECT 'S1' || CASE WHEN ord % 2 = 0 THEN 'A' ELSE 'C' END || '_EW_GRDM_1SDH_' || strftime(acq_date, '%Y%m%d') || 'T060000_' || ord AS ur,
-  'S1' || CASE WHEN ord % 2 = 0 THEN 'A' ELSE 'C' END AS satellite, 'EW' AS mode, acq_date, round(km2, 2) AS area_km2
-FROM ring_b JOIN a USING (ord) WHERE ord % 9 <> 0""")
-def scan_granules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Catalogue items written as JSON text and parsed again; some names do not parse, and every
-    tenth item is listed twice."""
-    r = rings(spark, sf_dir)
+def page_text(r: DataFrame, *keep: str) -> DataFrame:
+    """Catalogue pages of one item, or of one item twice, as JSON text."""
     sat = F.when(F.col("ord") % 2 == 0, "A").otherwise("C")
     prefix = F.when(F.col("ord") % 9 == 0, "X").otherwise("S1")
     name = F.concat(prefix, sat, F.lit("_EW_GRDM_1SDH_"), F.date_format("acq_date", "yyyyMMdd"), F.lit("T060000_"),
@@ -60,7 +54,18 @@ def scan_granules(spark: SparkSession, sf_dir: str) -> DataFrame:
                    F.struct(F.struct(geometry.alias("Geometry")).alias("HorizontalSpatialDomain")).alias("SpatialExtent"))
     item = F.struct(umm.alias("umm"))
     items = F.when(F.col("ord") % 10 == 0, F.array(item, item)).otherwise(F.array(item))
-    text = r.select(F.to_json(F.struct(items.alias("items"))).alias("page"))
+    return r.select(*keep, F.to_json(F.struct(items.alias("items"))).alias("page"))
+
+
+@query("scan_granules", _AREA_SQL + """,
+a AS (SELECT ord, abs(sum(x * y1 - x1 * y)) / 2 / 1e6 AS km2 FROM f GROUP BY ord)
+SELECT 'S1' || CASE WHEN ord % 2 = 0 THEN 'A' ELSE 'C' END || '_EW_GRDM_1SDH_' || strftime(acq_date, '%Y%m%d') || 'T060000_' || ord AS ur,
+  'S1' || CASE WHEN ord % 2 = 0 THEN 'A' ELSE 'C' END AS satellite, 'EW' AS mode, acq_date, round(km2, 2) AS area_km2
+FROM ring_b JOIN a USING (ord) WHERE ord % 9 <> 0""")
+def scan_granules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue items written as JSON text and parsed again; some names do not parse, and every
+    tenth item is listed twice."""
+    text = page_text(rings(spark, sf_dir))
     pages = text.select(F.from_json("page", GRANULE_PAGE).alias("p")).select("p.items")
     return parse_granules(pages).select("ur", "satellite", "mode", "acq_date", F.round("area_km2", 2).alias("area_km2"))
 
@@ -337,3 +342,55 @@ def lod_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream_lod(stream, out, f"{out}/ck").awaitTermination()
     return (spark.read.parquet(f"{out}/tiers").groupBy("acq_date", "tier")
             .agg(F.count(F.lit(1)).alias("n"), F.max("chunk").alias("last_chunk")))
+
+
+@query("stream_granules", f"""
+WITH {cte('ring_b')}
+SELECT 'S1' || CASE WHEN ord % 2 = 0 THEN 'A' ELSE 'C' END || '_EW_GRDM_1SDH_' || strftime(acq_date, '%Y%m%d') || 'T060000_' || ord AS ur,
+  'S1' || CASE WHEN ord % 2 = 0 THEN 'A' ELSE 'C' END AS satellite, acq_date, CASE WHEN ord % 10 = 0 THEN 2 ELSE 1 END AS n
+FROM ring_b WHERE ord % 9 <> 0""")
+def granule_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalogue pages of at most 250 rows, one file each, read in four micro-batches or more; an item listed twice comes twice."""
+    pages, out = scratch(spark, "pages"), scratch(spark, "granules")
+    r = rings(spark, sf_dir)
+    item = F.get_json_object("page", "$.items")
+    one = page_text(r, "ord").withColumn("i", item).select(
+        F.expr("ord div 250").alias("k"), F.expr("substring(i, 2, length(i) - 2)").alias("i"))
+    files = one.groupBy("k").agg(F.concat(F.lit('{"items":['), F.concat_ws(",", F.collect_list("i")), F.lit("]}")).alias("value"))
+    files.select("value").write.option("maxRecordsPerFile", 1).text(pages)
+    per_batch = max(1, (r.agg(F.max("ord")).head()[0] // 250 + 1) // 4)
+    rows = stream_granules(spark, pages, files_per_batch=per_batch).select("ur", "satellite", F.to_date("start").alias("acq_date"))
+    (rows.writeStream.format("parquet").option("path", f"{out}/data").option("checkpointLocation", f"{out}/ck")
+     .trigger(availableNow=True).start().awaitTermination())
+    found = spark.read.schema(rows.schema).parquet(f"{out}/data")
+    return found.groupBy("ur", "satellite", "acq_date").agg(F.count(F.lit(1)).cast("int").alias("n"))
+
+
+@query("arrow_features", f"""
+WITH {cte('wind_b')}
+SELECT event_id % 360 - 180.0 AS lon, 60 + event_id % 30 AS lat, u, v, strftime(acq_date, '%Y-%m-%dT00:00:00Z') AS time FROM wind_b""")
+def written_arrows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Arrow points written as one GeoJSON feature per line and read back."""
+    rows = bind(spark, sf_dir, "wind_b")
+    arrows = rows.select((F.col("event_id") % 360 - 180.0).alias("lon"), (60 + F.col("event_id") % 30).cast("double").alias("lat"),
+                         F.hypot("u", "v").alias("speed"), F.lit(0.0).alias("dir_to"), "u", "v", F.col("acq_date").cast("timestamp").alias("t"))
+    path = scratch(spark, "features")
+    write_features(arrow_features(arrows, "t"), path)
+    schema = ("geometry struct<type:string,coordinates:array<double>>, "
+              "properties struct<speed:double,dir_to:double,u:double,v:double,time:string>")
+    back = spark.read.text(path).select(F.from_json("value", schema).alias("f"))
+    return back.select(F.col("f.geometry.coordinates")[0].alias("lon"), F.col("f.geometry.coordinates")[1].cast("long").alias("lat"),
+                       "f.properties.u", "f.properties.v", "f.properties.time")
+
+
+@query("retile_tiles", f"""
+WITH {cte('cell_b')}
+SELECT collection, CAST(row_ + 5 AS INTEGER) AS row, CAST(col_ + 7 AS INTEGER) AS col, max(dn) AS value FROM cell_b GROUP BY ALL""")
+def retiled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles of 48 cut to tiles of 32 on a grid in which the image starts at row 5, column 7."""
+    m = M.mosaic(bind(spark, sf_dir, "cell_b"), ["dn"], keys=["collection"], cell=RC, value="dn")
+    tiles = T.assemble_tiles(m, 48, keys=["collection"], cell=RC, value="dn", height=112, width=76)
+    placed = tiles.withColumns({"dr": F.lit(5), "dc": F.lit(7), "ord": F.lit(1)})
+    moved = T.retile(placed, 48, 32, 120, 90, keys=["collection", "ord"], row_off="dr", col_off="dc")
+    out = T.explode_tiles(T.mosaic_tiles(moved, keys=["collection"]), 32, ["collection"])
+    return out.select("collection", "row", "col", F.col("value").cast("double").alias("value"))
