@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from floegrid.llm.tables import cut, text_key
 from floegrid.llm.text import SPACE, chunks, mix, pair, texts_words, word_table
@@ -297,7 +297,16 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with one row of each group left, the one with the least id, and all rows without words."""
-    found = near_duplicates(docs, size, percent, key, text).where("kept")
-    lone, grouped = found.where(F.col("group").isNull()), found.where(F.col("group").isNotNull())
-    return grouped.dropDuplicates(["group"]).unionByName(lone).select(*docs.columns)
+    """`docs` with one row of each group left, the one with the least id, and all rows without words.
+
+    The row is chosen among small rows, so texts are shuffled once. Of repeated rows with one id and text one stays, the least by the
+    hash of its columns.
+    """
+    rows = assign(docs, size, percent, key, text).where("kept")
+    chosen = (rows.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(F.struct(*KEYS)).alias("k"))
+              .select("k.*", F.lit(True).alias("_single")))
+    lone = rows.where(F.col("group").isNull()).select(*KEYS, F.lit(False).alias("_single")).distinct()
+    # Map columns have no hash.
+    same = Window.partitionBy(*KEYS).orderBy(F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind]))
+    return (_keyed(docs, key, text).join(chosen.unionByName(lone), KEYS).withColumn("_i", F.row_number().over(same))
+            .where(~F.col("_single") | (F.col("_i") == 1)).select(*docs.columns))
