@@ -101,3 +101,27 @@ def test_licences_of_other_notices(spark):
     assert licences.scan_licences(docs.limit(0)).count() == 0
     rows = samples.awkward(random.Random(1))
     assert licences.scan_licences(samples.frame(spark, rows)).where("licences is null").count() == len(rows)
+
+
+GPL_3 = ("    This program is free software: you can redistribute it and/or modify\n    it under the terms of the GNU {}General Public License as published by\n"
+         "    the Free Software Foundation, either version {} of the License, or\n    (at your option) any later version.")
+MIT = (" * Permission is hereby granted, free of charge, to any person obtaining a copy\n * of this software and associated documentation files (the \"Software\"), to deal\n"
+       " * in the Software without restriction, including without limitation the rights\n * to use, copy, modify, merge, publish and sell copies of the Software.")
+BSD = ("# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions\n# are met:")
+
+
+def test_licences_in_wrapped_notices_and_one_line_documents(spark):
+    """Hard-wrapped notices are put together; other versions and relatives are not taken for a family; long lines do not dilute a notice."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    filler = " ".join(docs.where("doc_id is not null and length(text) > 3000").orderBy("doc_id").first().text.split()[:400])
+    rows = [("gpl-3.0", GPL_3.format("", 3)), ("gpl-2.0", GPL_3.format("", 2)), ("agpl-3.0", GPL_3.format("Affero ", 3)), (None, GPL_3.format("Lesser ", 2.1)),
+            ("mit", MIT), ("bsd-3-clause", BSD), ("mit", f"A file.\n{MIT}\n\nint main() {{}}"), ("mit", MIT.replace("\n", "\r\n")),
+            (None, BSD.replace("\n", "\n\n")), ("apache-2.0", f"{filler} Licensed under the Apache License, Version 2.0. {filler}"), (None, filler),
+            ("gpl-3.0", f"{filler} {' '.join(GPL_3.format('', 3).split())} {filler}"),
+            ("apache-2.0,mit", f"{filler} Released under the MIT License. {filler} Licensed under the Apache License, Version 2.0.")]
+    frame = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r for r in licences.scan_licences(docs.select("doc_id", "text").where("doc_id > 100").unionByName(frame)).where("doc_id <= 100").collect()}
+    assert [got[i].licences for i in range(len(rows))] == [f for f, _ in rows]
+    assert [f.family for f in got[3].finds] and {f.family for f in got[3].finds} == {"unknown"}
+    span = got[9].finds[0]
+    assert rows[9][1].encode()[span.first:span.end].decode() == "Licensed under the Apache License, Version 2.0"
