@@ -2,8 +2,9 @@
 
 Every language is a distribution over hashed byte trigrams, counted over all labelled documents. A document's trigrams are taken
 as drawn from a mixture of languages; expectation-maximisation gives the proportions. Language sets of growing size
-(the most frequent ones of the full fit) are fitted on their own and compared by likelihood less
-a penalty of half the logarithm of the trigram count per further language. The prediction is the largest part of the best set.
+(the most frequent ones of the full fit), up to all learned languages, are fitted on their own and compared by likelihood less
+a penalty of half the logarithm of the trigram count per further language. A document's sets grow until an upper bound of the likelihood
+of every mixture, less the penalty of the next size, is not above the best value, so no size that could win is left out. The prediction is the largest part of the best set.
 
 Counting adds up per task before the shuffle, so a frequent language is no hot key; the model has one row for each language and trigram bucket.
 Prediction has no shuffle; all documents of a chunk are fitted together.
@@ -73,42 +74,59 @@ class LanguageModel:
     languages: list[str]
     chances: np.ndarray
 
-    def proportions(self, counts: np.ndarray, steps: int = 8, largest: int = 3) -> np.ndarray:
+    def proportions(self, counts: np.ndarray, steps: int = 8) -> np.ndarray:
         """Proportions of the languages in each text (rows sum to 1); parts outside the chosen set are 0."""
         n, k = len(counts), len(self.languages)
+        total = np.maximum(counts.sum(axis=1), 1).astype(np.float64)
         doc, bucket = np.nonzero(counts)
         c = counts[doc, bucket].astype(np.float32)
-        total = np.maximum(counts.sum(axis=1), 1).astype(np.float64)
         chance = self.chances[bucket]
-        starts = np.searchsorted(doc, np.arange(n))
-        filled = np.flatnonzero(counts.any(axis=1))
 
-        def sums(values: np.ndarray) -> np.ndarray:
+        def sums(values: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
             out = np.zeros((n, *values.shape[1:]))
-            if len(filled):
-                out[filled] = np.add.reduceat(values, starts[filled])
+            if len(doc):
+                filled = np.unique(doc)
+                out[filled] = np.add.reduceat(values, np.searchsorted(doc, filled))
             return out
 
-        def fit(parts: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-            for _ in range(rounds):
-                joint = chance * parts.astype(np.float32)[doc]
-                parts = sums(joint * (c / joint.sum(axis=1))[:, None]) / total[:, None]
-                parts[counts.sum(axis=1) == 0] = 1 / k
-            joint = (chance * parts.astype(np.float32)[doc]).sum(axis=1)
-            return parts, sums(c * np.log(np.maximum(joint, 1e-30)))
-
-        full, _ = fit(np.full((n, k), 1 / k), steps)
+        def fit(parts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            """Proportions and likelihood of the documents `rows`, and a bound of the likelihood of every mixture."""
+            if len(rows) == n:
+                d, own, ch = doc, c, chance
+            else:
+                place = np.full(n, -1)
+                place[rows] = np.arange(len(rows))
+                some = place[doc] >= 0
+                d, own, ch = place[doc[some]], c[some], chance[some]
+            size = total[rows][:, None]
+            blank = counts[rows].sum(axis=1) == 0
+            for _ in range(steps):
+                joint = ch * parts.astype(np.float32)[d]
+                parts = sums(joint * (own / joint.sum(axis=1))[:, None], d, len(rows)) / size
+                parts[blank] = 1 / k
+            joint = np.maximum((ch * parts.astype(np.float32)[d]).sum(axis=1), 1e-30)
+            likelihood = sums(own * np.log(joint), d, len(rows))
+            # The logarithm is concave: a mixture gains at most the log of the mean ratio of the language that fits best.
+            gain = (sums(ch * (own / joint)[:, None], d, len(rows)) / size).max(axis=1, initial=0)
+            return parts, likelihood, likelihood + size[:, 0] * np.log(np.maximum(gain, 1)) + 1e-6 * size[:, 0]
+
+        if not k:
+            return np.zeros((n, 0))
+        full, _, bound = fit(np.full((n, k), 1 / k), np.arange(n))
         rank = np.argsort(np.argsort(-full, axis=1, kind="stable"), axis=1)
-        alone = sums(c[:, None] * np.log(chance))
-        rank_alone = np.argmax(alone, axis=1)
-        best = np.eye(k)[rank_alone]
-        value = alone.max(axis=1) if k else np.zeros(n)
-        for size in range(2, min(largest, k) + 1):
-            start = np.where(rank < size, np.maximum(full, 1e-3), 0)
-            parts, likelihood = fit(start / start.sum(axis=1, keepdims=True), steps)
-            likelihood = likelihood - (size - 1) * np.log(np.maximum(total, 2)) / 2
-            better = likelihood > value
-            best[better], value[better] = parts[better], likelihood[better]
+        alone = sums(c[:, None] * np.log(chance), doc, n)
+        best, value = np.eye(k)[np.argmax(alone, axis=1)], alone.max(axis=1)
+        for size in range(2, k + 1):
+            penalty = (size - 1) * np.log(np.maximum(total, 2)) / 2
+            rows = np.flatnonzero(bound - penalty > value)
+            if not len(rows):
+                break
+            start = np.where(rank[rows] < size, np.maximum(full[rows], 1e-3), 0)
+            parts, likelihood, limit = fit(start / start.sum(axis=1, keepdims=True), rows)
+            bound[rows] = np.minimum(bound[rows], limit)
+            likelihood = likelihood - penalty[rows]
+            better = likelihood > value[rows]
+            best[rows[better]], value[rows[better]] = parts[better], likelihood[better]
         return best
 
 

@@ -35,6 +35,22 @@ def test_mixtures_are_told_apart(spark):
     assert alone[model.languages.index("fr")] == 1
 
 
+def test_mixtures_of_every_learned_language(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language.learn_languages(docs)
+    pick = {r.lang: r.text for r in docs.where("length(text) > 1500 and lang is not null").orderBy("doc_id").collect()}
+    assert len(pick) == len(model.languages) == 4
+    text = "\n".join(pick[x][:1000] for x in model.languages)
+    parts = model.proportions(language.trigram_counts(pa.array([pick["fr"], text, None])))[1]
+    assert (parts > 0.15).all() and np.isclose(parts.sum(), 1)
+    rng = np.random.default_rng(4)
+    chances = rng.dirichlet(np.full(language.BUCKETS, 0.02), 7).T + 1e-6
+    many = language.LanguageModel(list("abcdefg"), (chances / chances.sum(axis=0)).astype(np.float32))
+    mean = many.chances[:, :6].mean(axis=1).astype(np.float64)
+    parts = many.proportions(rng.multinomial(3000, mean / mean.sum(), 1))[0]
+    assert (parts[:6] > 0.1).all() and parts[6] == 0
+
+
 def test_language_of_awkward_rows(spark):
     rows = samples.awkward(random.Random(1)) + [(5, "12 34 ... 56", "en", "s", 1)]
     docs = samples.frame(spark, rows).withColumn("score", F.lit("clash"))
