@@ -58,10 +58,14 @@ def perspectives(turns: DataFrame, block: int = BLOCK) -> DataFrame:
                ELSE concat('<|user name=', x.name, '|>\\n') END"""
     pieces = F.expr(f"transform(t, x -> struct({head} AS head, concat(x.text, '{END}') AS body, x.name = speaker AS own))")
     rendered = F.expr("array_join(transform(p, x -> concat(x.head, x.body)), '')")
-    shown = (blocks.join(people, "dialogue").withColumn("p", pieces)
-             .select("conv_id", "dialogue", "speaker", "block", F.size("p").cast("long").alias("n_turns"), "p", rendered.alias("rendered")))
+    turned = blocks.join(people, "dialogue")
+    # Only the lengths of blocks go through the window, which has all blocks of a speaker in one task.
+    keys = ["dialogue", "speaker", "block"]
+    lengths = turned.withColumn("p", pieces).select(*keys, F.length(rendered).cast("long").alias("_n"))
     before = Window.partitionBy("dialogue", "speaker").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    counted = shown.withColumn("start_char", F.coalesce(F.sum(F.length("rendered")).over(before), F.lit(0)).cast("long"))
+    starts = lengths.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long").alias("start_char"))
+    counted = (turned.join(starts, keys).withColumn("p", pieces)
+               .select("conv_id", *keys, F.size("p").cast("long").alias("n_turns"), "p", rendered.alias("rendered"), "start_char"))
     spans = F.expr("""aggregate(p, struct(start_char AS at, cast(array() AS array<string>) AS spans, 0L AS n), (s, x) -> struct(
         s.at + length(x.head) + length(x.body) AS at,
         if(x.own, array_append(s.spans, concat(string(s.at + length(x.head)), '-',

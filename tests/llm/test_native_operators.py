@@ -136,3 +136,20 @@ def test_perspectives_match_brute_force(spark, block):
         found.setdefault((c, who), []).append((shown, ",".join(masks)))
     assert {k: sorted(v) for k, v in found.items()} == chat_brute(turns)
     assert chat.perspectives(table.limit(0)).count() == 0
+
+
+def test_no_window_over_a_speaker_carries_text(spark):
+    from floegrid.llm.chat import perspectives
+    turns = spark.createDataFrame([("c", i, "ab"[i % 2], "t" * i) for i in range(9)], "conv_id string, turn int, role string, text string")
+    found = perspectives(turns, block=2)
+    seen = []
+
+    def walk(node):
+        if node.nodeName() == "Window" and "speaker" in node.partitionSpec().toString():
+            seen.append({node.output().apply(i).name() for i in range(node.output().length())})
+        for i in range(node.children().length()):
+            walk(node.children().apply(i))
+    walk(found._jdf.queryExecution().optimizedPlan())
+    assert seen and all(not names & {"t", "p", "rendered"} for names in seen)
+    rows = sorted(found.where("speaker = 'a'").collect(), key=lambda r: r.block)
+    assert [r.start_char for r in rows] == [sum(len(x.rendered) for x in rows[:i]) for i in range(len(rows))]
