@@ -250,14 +250,14 @@ def hidden_links(crowded: DataFrame, signed: DataFrame, sets: DataFrame, labels:
     return rows.groupBy("band", "p", "q").applyInArrow(run, "a long, b long").distinct()
 
 
-def _keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
+def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
     """Two hashes of the text and one of the id, so that rows meet again whatever is null or repeated."""
     return docs.withColumns({**dict(zip(KEYS, text_key(F.col(text)))), "_k3": F.xxhash64(F.col(key))})
 
 
 def assign(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row for each row of `docs`: _k1, _k2, _k3, _id, n_shingles, group (null without words), component_id, kept."""
-    base = _keyed(docs, key, text).select(*KEYS, F.col(key).alias("_id"), F.col(text).alias("_text"))
+    base = keyed(docs, key, text).select(*KEYS, F.col(key).alias("_id"), F.col(text).alias("_text"))
     rows = cut(signatures(base, size))
     signed = cut(rows.where(F.size("bands") > 0).groupBy("node")
                  .agg(F.first(F.struct("bands", "sketch")).alias("s")).select("node", "s.bands", "s.sketch"))
@@ -291,7 +291,7 @@ def assign(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` with n_shingles, group (null without words), component_id (least id that can be reached) and kept."""
-    base = _keyed(docs.drop("n_shingles", "group", "component_id", "kept"), key, text)
+    base = keyed(docs.drop("n_shingles", "group", "component_id", "kept"), key, text)
     found = assign(docs, size, percent, key, text).drop("_id").distinct()
     return base.join(found, KEYS).drop(*KEYS)
 
@@ -308,5 +308,5 @@ def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "d
     lone = rows.where(F.col("group").isNull()).select(*KEYS, F.lit(False).alias("_single")).distinct()
     # Map columns have no hash.
     same = Window.partitionBy(*KEYS).orderBy(F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind]))
-    return (_keyed(docs, key, text).join(chosen.unionByName(lone), KEYS).withColumn("_i", F.row_number().over(same))
+    return (keyed(docs, key, text).join(chosen.unionByName(lone), KEYS).withColumn("_i", F.row_number().over(same))
             .where(~F.col("_single") | (F.col("_i") == 1)).select(*docs.columns))

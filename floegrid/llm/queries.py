@@ -193,3 +193,25 @@ SELECT page_id, host, path, {cases(lambda r: r[0] + r[1])} AS rule,
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     from floegrid.llm.urls import filter_urls
     return filter_urls(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
+LOWER_SQL = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op11_vertical_join", fr"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array({LOWER_SQL}, '{SPACE_CLASS}+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT doc_id AS id, doc_id AS k FROM documents UNION SELECT r.id, e.b FROM r JOIN e ON r.k = e.a)
+SELECT id AS doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, min(k) AS component_id
+FROM r LEFT JOIN n ON id = n.doc_id GROUP BY id, n""")
+def op11_vertical_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from floegrid.llm.ngram_join import assign
+    return assign(table(spark, sf_dir, "documents"), size=4, percent=85).select(
+        F.col("_id").alias("doc_id"), "n_shingles", "component_id")
