@@ -215,3 +215,30 @@ def op11_vertical_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from floegrid.llm.ngram_join import assign
     return assign(table(spark, sf_dir, "documents"), size=4, percent=85).select(
         F.col("_id").alias("doc_id"), "n_shingles", "component_id")
+
+
+@query("op13_collocations", fr"""
+WITH p AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '') AS w
+           FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER_SQL}, '[.,;:!?\n\x0B\f\r]')) AS piece FROM documents)),
+w1 AS (SELECT lang, x, count(*) AS f FROM (SELECT lang, unnest(w) AS x FROM p) GROUP BY ALL),
+w2 AS (SELECT lang, x, y, count(*) AS f FROM (SELECT lang, w[i] AS x, w[i + 1] AS y FROM (SELECT lang, w, unnest(range(1, len(w))) AS i FROM p))
+       GROUP BY ALL),
+w3 AS (SELECT lang, x, y, z, count(*) AS f
+       FROM (SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z FROM (SELECT lang, w, unnest(range(1, len(w) - 1)) AS i FROM p)) GROUP BY ALL),
+t AS (SELECT w3.*, a.f AS f1, b.f AS f23, c.f AS f12, d.f AS f3
+      FROM w3 JOIN w1 a ON a.lang = w3.lang AND a.x = w3.x JOIN w2 b ON b.lang = w3.lang AND b.x = w3.y AND b.y = w3.z
+      JOIN w2 c ON c.lang = w3.lang AND c.x = w3.x AND c.y = w3.y JOIN w1 d ON d.lang = w3.lang AND d.x = w3.z WHERE w3.f >= 10),
+u AS (SELECT *, 1000000::HUGEINT * f * f // (f1::HUGEINT * f23) AS s1, 1000000::HUGEINT * f * f // (f12::HUGEINT * f3) AS s2 FROM t),
+g AS (SELECT lang, x, y, max(f) AS longer FROM (SELECT lang, x, y, f FROM t UNION ALL SELECT lang, y, z, f FROM t) GROUP BY ALL),
+c AS (SELECT w2.lang, w2.x || ' ' || w2.y AS phrase, w2.f AS a, k.f AS l, m.f AS r, 1000000::HUGEINT * w2.f * w2.f // (k.f::HUGEINT * m.f) AS score
+      FROM w2 JOIN w1 k ON k.lang = w2.lang AND k.x = w2.x JOIN w1 m ON m.lang = w2.lang AND m.x = w2.y
+      LEFT JOIN g ON g.lang = w2.lang AND g.x = w2.x AND g.y = w2.y WHERE w2.f >= 10 AND (longer IS NULL OR 100 * longer < 50 * w2.f)
+      UNION ALL
+      SELECT lang, x || ' ' || y || ' ' || z, f, CASE WHEN s1 <= s2 THEN f1 ELSE f12 END, CASE WHEN s1 <= s2 THEN f23 ELSE f3 END, least(s1, s2)
+      FROM u),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM c)
+SELECT o.lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM o JOIN (SELECT lang, sum(f) AS n FROM w1 GROUP BY lang) s ON s.lang = o.lang WHERE rank <= 2000""")
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from floegrid.llm.collocations import collocations
+    return collocations(table(spark, sf_dir, "documents"))
