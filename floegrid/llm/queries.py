@@ -242,3 +242,23 @@ FROM o JOIN (SELECT lang, sum(f) AS n FROM w1 GROUP BY lang) s ON s.lang = o.lan
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     from floegrid.llm.collocations import collocations
     return collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_hard_negatives", """
+WITH e AS (SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.rid AS arid, a.vec_id AS anchor_id, b.rid, b.vec_id, a.label = b.label AS same,
+             CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM e a, e b WHERE a.vec_id % 50 = 0 AND a.rid <> b.rid),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY arid ORDER BY score DESC, vec_id, rid) <= 5),
+n AS (SELECT p.anchor_id, p.vec_id AS positive_id, s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.arid, p.rid ORDER BY s.score DESC, s.vec_id, s.rid) AS rank
+      FROM p JOIN s ON s.arid = p.arid AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3""")
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from floegrid.llm.hard_negatives import mine
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, shifted)
