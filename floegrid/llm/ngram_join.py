@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from floegrid.llm.near_dup import KEYS, components, keyed, set_ids, shingle_sets
 from floegrid.llm.tables import cut
-from floegrid.llm.text import chunks
+from floegrid.llm.text import SPACE, chunks, pair, texts_words, word_table
 
 SLOT_BITS = 22
 PARTS = 64
@@ -63,14 +63,19 @@ def gram_order(docs: DataFrame, size: int, text: str = "text", fragments: int =
     of the excess. The order changes the cost only, never a result.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << SLOT_BITS, np.uint64)
-        for batch in chunks(batches, "_text", 8 << 20):
-            grams, _ = shingle_sets(batch.column("_text"), size)
-            total += np.bincount((grams >> _SHIFT).astype(np.int64), minlength=1 << SLOT_BITS).astype(np.uint64)
+        total = np.zeros(1 << SLOT_BITS, np.uint32)
+        for batch in chunks(batches, "_text"):
+            words, owner, _ = texts_words(batch.column("_text"), word_table(SPACE), True)
+            grams = words[:max(0, len(words) - size + 1)]
+            for i in range(1, size):
+                grams = pair(grams, words[i:len(words) - size + 1 + i])
+            at = np.arange(len(grams))
+            slots, n = np.unique((grams[owner[at] == owner[at + size - 1]] >> _SHIFT).astype(np.uint32), return_counts=True)
+            total[slots] += n.astype(np.uint32)
         pack = zstandard.ZstdCompressor(level=1)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(range(PARTS), pa.int32()), pa.array([pack.compress(p.tobytes()) for p in np.split(total, PARTS)], pa.binary())],
-            names=["part", "counts"])
+            [pa.array(range(PARTS), pa.int32()),
+             pa.array([pack.compress(p.astype(np.uint64).tobytes()) for p in np.split(total, PARTS)], pa.binary())], names=["part", "counts"])
 
     def add(_: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, part = np.zeros((1 << SLOT_BITS) // PARTS, np.uint64), 0
