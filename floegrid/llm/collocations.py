@@ -215,7 +215,7 @@ class _Strips:
         """Cells of one strip of each tile, a power of two."""
         most = np.minimum(self.first[t1], self.second[t2])
         strips = 1 << np.ceil(np.log2(np.maximum(most / self.mass, 1))).astype(np.int64)
-        return np.maximum(self.side * self.side // strips, 64)
+        return np.minimum(np.maximum(self.side * self.side // strips, 64), self.side * self.side)
 
 
 def neighbour_counts(docs: DataFrame, words: Ranked, pairs: Ranked | None, floor: int, side: int = SIDE, flush: int = FLUSH,
