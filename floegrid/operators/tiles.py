@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from floegrid.operators.mosaic import CELL, SLICE
+from floegrid.operators.pyramid import LEVELS
 
 TILE_COLUMNS = ["ty", "tx", "h", "w", "data"]
 # Values per batch handed back to Spark: a few large tiles or many small ones.
@@ -195,27 +196,121 @@ def mosaic_tiles(tiles: DataFrame, order: str = "ord", keys: Sequence[str] = SLI
     return _fold(first.drop("_range"), names, [], order).select(*names, *TILE_COLUMNS)
 
 
-def overview_tiles(tiles: DataFrame, how: str = "average") -> DataFrame:
-    """Each tile at half its resolution, skipping NaN; edge rows and columns stand alone."""
-    if how not in ("average", "nearest"):
-        raise ValueError(f"unknown tile overview method {how!r}")
+def _halve_average(q: np.ndarray) -> np.ndarray:
+    n = (~np.isnan(q)).sum(axis=0)
+    with np.errstate(invalid="ignore", divide="ignore"):
+        return np.nansum(q, axis=0, dtype=np.float64) / n
 
-    def halve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def _halve_mode(q: np.ndarray) -> np.ndarray:
+    """Most frequent valid value, the smallest on a tie."""
+    q = np.sort(q, axis=0)
+    votes = (q[:, None] == q[None, :]).sum(axis=1)
+    return np.take_along_axis(q, votes.argmax(axis=0)[None], axis=0)[0]
+
+
+HALVE = {"average": _halve_average, "mode": _halve_mode, "nearest": lambda q: q[0]}
+
+
+def _halved(values: np.ndarray, how: str) -> np.ndarray:
+    """A raster at half its resolution; a last odd row or column stands alone."""
+    h, w = values.shape
+    even = np.full((h + h % 2, w + w % 2), np.nan, dtype=VALUE)
+    even[:h, :w] = values
+    return HALVE[how](np.stack([even[::2, ::2], even[::2, 1::2], even[1::2, ::2], even[1::2, 1::2]])).astype(VALUE)
+
+
+class _Quads:
+    """Open tiles of the levels above a Z-ordered stream of tiles of one block: one tile for each level is held."""
+
+    def __init__(self, levels: Sequence[int], tile: int, how: str, height: int | None, width: int | None, nodata: float | None):
+        self.levels, self.tile, self.how, self.shape, self.nodata = levels, tile, how, (height, width), nodata
+        self.open: list[tuple[tuple[int, int], np.ndarray] | None] = [None] * len(levels)
+
+    def _size(self, k: int, at: tuple[int, int]) -> list[int]:
+        """Height and width of a tile of the k-th level: those of the grid at its edge."""
+        return [self.tile if n is None else min(self.tile, -(-n // self.levels[k]) - i * self.tile) for n, i in zip(self.shape, at)]
+
+    def add(self, k: int, ty: int, tx: int, values: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray]]:
+        """Put a tile of the level below the k-th into its quad; gives out the tiles that this closes."""
+        if k == len(self.levels):
+            return
+        up = (ty // 2, tx // 2)
+        if self.open[k] is not None and self.open[k][0] != up:
+            yield from self.close(k)
+        if self.open[k] is None:
+            self.open[k] = (up, np.full(self._size(k, up), np.nan, dtype=VALUE))
+        small = _halved(values, self.how)
+        top, left = ty % 2 * (self.tile // 2), tx % 2 * (self.tile // 2)
+        self.open[k][1][top:top + small.shape[0], left:left + small.shape[1]] = small
+
+    def close(self, k: int) -> Iterator[tuple[int, int, int, np.ndarray]]:
+        """Give out the open tile of the k-th level, then put it into the level above."""
+        if self.open[k] is None:
+            return
+        (ty, tx), values = self.open[k]
+        self.open[k] = None
+        if not np.isnan(values).all():
+            yield self.levels[k], ty, tx, values
+            yield from self.add(k + 1, ty, tx, values)
+
+    def close_all(self) -> Iterator[tuple[int, int, int, np.ndarray]]:
+        for k in range(len(self.levels)):
+            yield from self.close(k)
+
+
+def _z_order(ty: str, tx: str, bits: int):
+    """The bits of two tile numbers in turn, so that the four tiles of a quad follow each other at every level."""
+    out = F.lit(0)
+    for i in range(bits):
+        for name, place in ((tx, 2 * i), (ty, 2 * i + 1)):
+            out = out.bitwiseOR(F.shiftleft(F.shiftright(F.col(name), i).bitwiseAND(1), place))
+    return out
+
+
+def overview_tiles(tiles: DataFrame, tile: int, levels: Sequence[int] = LEVELS, how: str = "average", keys: Sequence[str] = SLICE,
+                   height: int | None = None, width: int | None = None, nodata: float | None = None) -> DataFrame:
+    """Overview tiles of every level, with a `level` column, from one tile per place.
+
+    Each level halves the one before and joins four tiles into one of the same size. All levels share one exchange: tiles are placed by
+    the quad of the coarsest level and read in Z-order, so a task holds one open tile for each level however large the quad is.
+    With a grid height and width, edge tiles are cut to the grid. NaN and `nodata` are skipped; a tile without a valid value has no row.
+    """
+    if how not in HALVE:
+        raise ValueError(f"unknown overview method {how!r}; valid: {tuple(HALVE)}")
+    levels = sorted(levels)
+    if levels != [2 << i for i in range(len(levels))] or tile % 2:
+        raise ValueError("levels must be 2, 4, 8 and so on, and the tile size even")
+    names, bits = list(keys), len(levels)
+    schema = T.StructType([*[tiles.schema[k] for k in names], T.StructField("level", T.IntegerType()),
+                           *tile_schema(tiles, []).fields])
+    columns = [f.name for f in schema]
+    group = [*names, "_qy", "_qx"]
+
+    def reduce(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, quads, done = None, None, []
         for pdf in batches:
-            out = []
-            for data, h, w in zip(pdf["data"], pdf["h"], pdf["w"]):
-                a = decode(data, h, w)
-                if how == "nearest":
-                    out.append(encode(a[::2, ::2]))
-                    continue
-                a = np.pad(a, ((0, h % 2), (0, w % 2)), constant_values=np.nan)
-                q = a.reshape(a.shape[0] // 2, 2, a.shape[1] // 2, 2)
-                n = (~np.isnan(q)).sum(axis=(1, 3))
-                with np.errstate(invalid="ignore", divide="ignore"):
-                    out.append(encode(np.nansum(q, axis=(1, 3)) / n))
-            pdf = pdf.assign(data=out, h=(pdf["h"] + 1) // 2, w=(pdf["w"] + 1) // 2)
-            yield pdf
-    return tiles.mapInPandas(halve, tiles.schema)
+            blobs = pdf["data"].tolist()
+            for i, (key, ty, tx, h, w) in enumerate(zip(pdf[group].itertuples(index=False, name=None),
+                                                        *(pdf[c].tolist() for c in ("ty", "tx", "h", "w")))):
+                if key != held:
+                    if held is not None:
+                        done += [(*held[:-2], level, y, x, *v.shape, encode(v)) for level, y, x, v in quads.close_all()]
+                    held, quads = key, _Quads(levels, tile, how, height, width, nodata)
+                values = decode(blobs[i], h, w)
+                if nodata is not None:
+                    values = np.where(values == nodata, np.float32(np.nan), values)
+                done += [(*held[:-2], level, y, x, *v.shape, encode(v)) for level, y, x, v in quads.add(0, ty, tx, values)]
+                if len(done) * tile * tile >= FLUSH_VALUES:
+                    yield pd.DataFrame(done, columns=columns)
+                    done = []
+        if held is not None:
+            done += [(*held[:-2], level, y, x, *v.shape, encode(v)) for level, y, x, v in quads.close_all()]
+        if done:
+            yield pd.DataFrame(done, columns=columns)
+    placed = (tiles.select(*names, *TILE_COLUMNS, F.shiftright("ty", bits).alias("_qy"), F.shiftright("tx", bits).alias("_qx"))
+              .repartition(*group).withColumn("_z", _z_order("ty", "tx", bits)).sortWithinPartitions(*group, "_z"))
+    return placed.mapInPandas(reduce, schema)
 
 
 def lut_arrays(lut: DataFrame, keys: Sequence[str] = ("granule", "polarization", "calibration")) -> DataFrame:

@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[Query, str | None]] = {}
 
 _MODULES = ("overlap", "naming", "pixels", "dating", "cubes", "vectors", "catalogues", "geometry",
-            "warping", "swaths", "flows")
+            "warping", "tiling", "swaths", "flows")
 
 
 def query(name: str, oracle: str | None = None) -> Callable[[Query], Query]:

@@ -265,12 +265,52 @@ def test_mosaic_tiles_paint_order(spark, bucket):
     assert flat(T.explode_tiles(T.mosaic_tiles(tiles, bucket=bucket), 4)) == flat(M.mosaic(df, ["ord"]))
 
 
-def test_overview_tiles(spark):
+def halved(grid, how):
+    """A raster at half its resolution, pixel by pixel."""
+    out = np.full(((grid.shape[0] + 1) // 2, (grid.shape[1] + 1) // 2), np.nan, np.float32)
+    for r, c in np.ndindex(*out.shape):
+        block = grid[2 * r:2 * r + 2, 2 * c:2 * c + 2]
+        if how == "nearest":
+            out[r, c] = block[0, 0]
+            continue
+        good = block[~np.isnan(block)].tolist()
+        if good:
+            out[r, c] = sum(good) / len(good) if how == "average" else min(good, key=lambda v: (-good.count(v), v))
+    return out
+
+
+@pytest.mark.parametrize("how", ["average", "mode", "nearest"])
+@pytest.mark.parametrize("shape", [(50, 37), (64, 64), (3, 9)])
+def test_tile_pyramid_equals_pixels(spark, how, shape):
+    rng = np.random.default_rng(shape[0])
+    grid = rng.integers(0, 5, shape).astype(np.float32)
+    grid[rng.random(shape) < .4] = np.nan
+    grid[:, :8] = np.nan
+    cells = [("c", int(r), int(c), float(grid[r, c])) for r, c in zip(*np.nonzero(~np.isnan(grid)))]
+    df = spark.createDataFrame(cells, "collection string, row int, col int, value float")
+    for size in ({"height": shape[0], "width": shape[1]}, {}):
+        tiles = T.assemble_tiles(df, 4, keys=["collection"], **size)
+        levels = T.overview_tiles(tiles, 4, how=how, keys=["collection"], **size)
+        got = {(r["level"], r["row"], r["col"]): r["value"] for r in T.explode_tiles(levels, 4, ["collection", "level"]).collect()}
+        want, level = {}, grid
+        for n in (2, 4, 8, 16, 32):
+            level = halved(level, how)
+            want |= {(n, int(r), int(c)): level[r, c] for r, c in zip(*np.nonzero(~np.isnan(level)))}
+        assert got == want
+    if how == "average":
+        edge = T.overview_tiles(T.assemble_tiles(df, 4, keys=["collection"], height=shape[0], width=shape[1]), 4, (2,), keys=["collection"],
+                                height=shape[0], width=shape[1]).agg({"h": "min", "w": "min"}).head()
+        assert edge["min(h)"] == ((shape[0] + 1) // 2 - 1) % 4 + 1 and edge["min(w)"] == ((shape[1] + 1) // 2 - 1) % 4 + 1
+
+
+def test_tile_pyramid_limits(spark):
     tiles = T.assemble_tiles(tile_cells(spark, 4, 5, "value <> 0"), 8, height=4, width=5)
-    r = T.overview_tiles(tiles).head()
-    data = T.decode(r["data"], r["h"], r["w"])
-    assert data.shape == (2, 3) and data[0, 0] == pytest.approx((1 + 5 + 6) / 3) and data[0, 2] == pytest.approx(6.5)
-    assert np.frombuffer(T.overview_tiles(tiles, "nearest").head()["data"], T.VALUE)[1] == 2
+    for bad in ({"how": "median"}, {"levels": (2, 8)}):
+        with pytest.raises(ValueError):
+            T.overview_tiles(tiles, 8, **bad)
+    masked = T.overview_tiles(tiles, 8, (2,), nodata=7.0).head()
+    assert T.decode(masked["data"], masked["h"], masked["w"])[0, 0] == pytest.approx((1 + 5 + 6) / 3)
+    assert T.overview_tiles(tiles.limit(0), 8).count() == 0
 
 
 def gcp_table(spark, fn, n=5, size=40):
