@@ -4,8 +4,9 @@ The n-grams have one global order, rare ones first: by the level of a counter of
 hash. The order is cut into FRAGMENTS of about equal mass, and a set is cut with it.
 
 1. Documents with equal sets are one class from here on, so exact copies cost one row each and never meet each other.
-2. Of a set of s grams, the s - ceil(threshold * s) + 1 first ones in the order are its prefix. Sets of a link share a gram of both prefixes.
-   Classes with a common prefix gram share a bucket.
+2. Of a set of s grams, the p = s - ceil(threshold * s) + 1 first ones in the order are its prefix. Sets of a link share a gram of both
+   prefixes, and of prefixes that are longer by k - 1 they share k grams. So a class takes part only if at least a quarter of p of its longer
+   prefix occurs in other longer prefixes; a few chance grams do not do. Classes that are left and share a gram of their prefixes share a bucket.
 3. In each bucket, every member is a candidate with the bucket's centre only, the member with the most neighbours. A bitmap with the
    parity of the grams of each slot bounds the difference of two sets from below, without error, and drops most candidates.
 4. *Vertical partitioning.* Each remaining pair is counted fragment by fragment: the overlap of the two segments is one row, and the rows are
@@ -39,7 +40,7 @@ from floegrid.llm.text import SPACE, chunks, pair, texts_words, word_table
 SLOT_BITS = 22
 PARTS = 64
 FRAGMENTS = 8
-BLOCK = 2048
+BLOCK = 512
 _SHIFT = np.uint64(64 - SLOT_BITS)
 
 
@@ -102,6 +103,16 @@ def gram_order(docs: DataFrame, size: int, text: str = "text", fragments: int =
     return Order(levels, np.unique((levels[cuts].astype(np.int64) << SLOT_BITS) | cuts))
 
 
+def prefix_size(n, percent: int):
+    """Grams of the prefix of a set of n: all sets that it may link to share one of them."""
+    return n - (percent * n + 99) // 100 + 1
+
+
+def shared_least(n, percent: int):
+    """Grams that a set of n shares within the longer prefixes, which have one less more than the prefix."""
+    return (prefix_size(n, percent) + 3) // 4
+
+
 def required(a: int, b: int, percent: int) -> int:
     """Least overlap of sets of a and b grams with 100 * overlap >= percent * union."""
     return -(-percent * (a + b) // (100 + percent))
@@ -150,7 +161,7 @@ def signatures(docs: DataFrame, size: int, percent: int, order: Order) -> DataFr
             own, kept = grams[keep], np.concatenate(([0], np.cumsum(sizes[first]))).astype(np.int64)
             owner = np.repeat(np.arange(len(first)), sizes[first])
             ranked = own[np.argsort((owner << 8) | by.level(own), kind="stable")]
-            length = sizes[first] - -(-percent * sizes[first] // 100) + 1
+            length = np.minimum(sizes[first], prefix_size(sizes[first], percent) - 1 + shared_least(sizes[first], percent))
             prefix = ranked[np.arange(len(ranked)) - kept[owner] < length[owner]]
             at = np.concatenate(([0], np.cumsum(length)))[np.concatenate(([0], np.cumsum(lead)))]
             maps = parity_bitmaps(own, kept).take(pa.array(np.where(lead, np.cumsum(lead) - 1, -1), mask=~lead))
@@ -339,13 +350,21 @@ def join_classes(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "
     rows = cut(signatures(base, size, percent, order))
     nodes = cut(rows.where(F.size("prefix") > 0).groupBy("node").agg(F.first(F.struct("n_shingles", "prefix", "bits")).alias("s"))
                 .select("node", F.col("s.n_shingles").alias("n"), "s.prefix", "s.bits"))
-    each = nodes.select("node", "n", F.posexplode("prefix").alias("place", "gram"))
+    each = nodes.select("node", F.explode("prefix").alias("gram"))
     # Tables that are joined to a crowded key are written first: then both sides are shuffled and the runtime can split it.
+    common = cut(each.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("gram"))
+    shared = each.join(common, "gram").groupBy("node").agg(F.count(F.lit(1)).alias("m"))
+    # The least that the smallest set in reach shares.
+    smallest = f"({percent} * n + 99) div 100"
+    least = F.expr(f"({smallest} - ({percent} * ({smallest}) + 99) div 100 + 4) div 4")
+    likely = cut(nodes.join(shared, "node").where(F.col("m") >= least).drop("m"))
+    first = F.expr(f"slice(prefix, 1, int(n - ({percent} * n + 99) div 100 + 1))")
+    each = likely.select("node", "n", F.posexplode(first).alias("place", "gram"))
     full = cut(each.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1"))
     earlier = Window.partitionBy("node").orderBy("place")
-    shared = each.join(full, "gram")
-    crowded = cut(shared.withColumn("before", F.lag("gram").over(earlier))
+    crowded = cut(each.join(full, "gram").withColumn("before", F.lag("gram").over(earlier))
                   .withColumn("neighbours", F.sum("m").over(Window.partitionBy("node"))).drop("m", "place"))
+    nodes = likely.drop("prefix")
     centres = cut(crowded.groupBy("gram").agg(F.max(F.struct("neighbours", "node", "n", "before")).alias("c"))
                   .select("gram", F.col("c.node").alias("c"), F.col("c.n").alias("nc"), F.col("c.before").alias("parent")))
     pairs = (crowded.join(centres, "gram").where(f"node <> c AND 100 * n >= {percent} * nc AND 100 * nc >= {percent} * n")
