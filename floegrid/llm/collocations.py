@@ -27,7 +27,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
-from floegrid.llm.tables import cut
+from floegrid.llm.tables import cut, key_bitmap, may_hold
 from floegrid.llm.text import chunks, lower_table, pair, packed, word_hashes, word_spans, word_table
 
 HEAD = 1 << 20
@@ -35,8 +35,6 @@ SIDE = 2048
 FLOOR = 10
 STRIP_MASS = 1 << 24
 FLUSH = 6_000_000
-FILTER_BITS = 25
-PARTS = 64
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 CHUNK = 8 << 20
 UNKNOWN = "und"
@@ -60,8 +58,7 @@ class Ranked(NamedTuple):
             ids = np.full(len(keys), -1, np.int64)
         likely = ids >= 0
         if self.rest_mass:
-            slot = keys >> np.uint64(64 - FILTER_BITS)
-            likely |= (self.rest[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            likely |= may_hold(self.rest, keys)
         return ids, likely
 
 
@@ -141,42 +138,10 @@ def ranked(counts: DataFrame, head: int, side: int) -> Ranked:
     by_id = keys[order]
     sort = np.argsort(by_id, kind="stable")
     mass = np.add.reduceat(n[order], np.arange(0, len(n), side)) if len(n) else np.zeros(0, np.int64)
-    rest = _bitmap(counts.where(step < least)) if rest_mass else np.zeros(1, np.uint8)
+    rest = key_bitmap(counts.where(step < least)) if rest_mass else np.zeros(1, np.uint8)
     return Ranked(by_id[sort], sort.astype(np.int64), by_id, mass, rest, int(rest_mass))
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """A bit for the first FILTER_BITS bits of each key, put together in two rounds."""
-    wide = (1 << FILTER_BITS) // 8 // PARTS
-
-    def blocks(total: np.ndarray, parts: Iterator[int]) -> pa.RecordBatch:
-        pack = zstandard.ZstdCompressor(level=1)
-        parts = list(parts)
-        return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(
-            [pack.compress(total[i * wide:(i + 1) * wide].tobytes()) for i in range(len(parts))], pa.binary())], names=["part", "bits"])
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
-        for batch in batches:
-            slot = batch.column("key").to_numpy().view(np.uint64) >> np.uint64(64 - FILTER_BITS)
-            np.bitwise_or.at(total, (slot >> np.uint64(3)).astype(np.int64), np.uint8(1) << (slot & np.uint64(7)).astype(np.uint8))
-        yield blocks(total, range(PARTS))
-
-    def join(_: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, part = np.zeros(wide, np.uint8), 0
-        for batch in batches:
-            for row in batch.to_pylist():
-                part = row["part"]
-                total |= np.frombuffer(zstandard.ZstdDecompressor().decompress(row["bits"]), np.uint8)
-        yield blocks(total, [part])
-    each = keys.select("key").mapInArrow(mark, "part int, bits binary").withColumn("salt", (F.rand(11) * 64).cast("int"))
-    once = each.groupBy("part", "salt").applyInArrow(join, "part int, bits binary").groupBy("part").applyInArrow(join, "part int, bits binary")
-    out = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
-    for row in once.collect():
-        out[row["part"] * wide:(row["part"] + 1) * wide] = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["bits"]), np.uint8)
-    return out
-
-
 def _pack(*columns: np.ndarray) -> bytes:
     head = np.array([len(columns[0])], np.int64).tobytes()
     return zstandard.ZstdCompressor(level=1).compress(head + b"".join(c.tobytes() for c in columns))

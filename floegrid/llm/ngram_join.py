@@ -34,7 +34,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window, functions as F
 
 from floegrid.llm.near_dup import KEYS, components, keyed, set_ids, shingle_sets
-from floegrid.llm.tables import cut
+from floegrid.llm.tables import cut, key_bitmap, may_hold, passing_through
 from floegrid.llm.text import SPACE, chunks, pair, texts_words, word_table
 
 SLOT_BITS = 22
@@ -173,23 +173,30 @@ def signatures(docs: DataFrame, size: int, percent: int, order: Order) -> DataFr
     return docs.mapInArrow(run, f"_k1 long, _k2 long, _k3 long, _id {kind}, node long, n_shingles long, prefix array<long>, bits binary")
 
 
-def segments(texts: DataFrame, size: int, order: Order) -> DataFrame:
-    """node, fragment and the grams of the set in it, for rows of (node, _text)."""
-    shared = texts.sparkSession.sparkContext.broadcast((order.levels, order.pivots))
+def segments(base: DataFrame, wanted: DataFrame, size: int, order: Order) -> DataFrame:
+    """node, fragment and the grams of the set in it, for each (node, _k1, _k2, _k3) of `wanted`.
+
+    Rows of `base` (_k1, _k2, _k3, _text) are cut where they lie; a bitmap of the wanted keys leaves out most others, so no texts are shuffled.
+    """
+    bits = key_bitmap(wanted.select(F.col("_k1").alias("key")))
+    shared = base.sparkSession.sparkContext.broadcast((order.levels, order.pivots, bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by = Order(*shared.value)
-        for batch in chunks(batches, "_text"):
-            grams, bounds = shingle_sets(batch.column("_text"), size)
-            place = np.repeat(np.arange(batch.num_rows), np.diff(bounds)) * 256 + by.fragment(grams)
-            sort = np.argsort(place, kind="stable")
-            which, start = np.unique(place[sort], return_index=True)
-            offsets = np.append(start, len(sort)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node").take(pa.array(which // 256)), pa.array((which % 256).astype(np.int32)),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(grams[sort].view(np.int64)))],
-                names=["node", "fragment", "grams"])
-    return texts.mapInArrow(run, "node long, fragment int, grams array<long>")
+        by, some = Order(*shared.value[:2]), shared.value[2]
+        for whole in batches:
+            likely = whole.filter(pa.array(may_hold(some, whole.column("_k1").to_numpy().view(np.uint64))))
+            for batch in chunks(iter([likely]), "_text"):
+                grams, bounds = shingle_sets(batch.column("_text"), size)
+                place = np.repeat(np.arange(batch.num_rows), np.diff(bounds)) * 256 + by.fragment(grams)
+                sort = np.argsort(place, kind="stable")
+                which, start = np.unique(place[sort], return_index=True)
+                offsets = np.append(start, len(sort)).astype(np.int32)
+                own = batch.take(pa.array(which // 256))
+                yield pa.RecordBatch.from_arrays(
+                    [*[own.column(k) for k in KEYS], pa.array((which % 256).astype(np.int32)),
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(grams[sort].view(np.int64)))], names=[*KEYS, "fragment", "grams"])
+    found = base.select(*KEYS, "_text").mapInArrow(run, "_k1 long, _k2 long, _k3 long, fragment int, grams array<long>")
+    return found.join(wanted, KEYS).groupBy("node", "fragment").agg(F.first("grams").alias("grams"))
 
 
 def can_link(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -374,9 +381,7 @@ def join_classes(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "
 
     def parts_of(some: DataFrame) -> DataFrame:
         """Segments of the given nodes, from the text of one row of each; which one does not matter, as their sets are equal."""
-        one = cut(where.join(some, "node"))
-        texts = base.select(*KEYS, "_text").join(one, KEYS).groupBy("node").agg(F.first("_text").alias("_text"))
-        return cut(segments(texts, size, order))
+        return cut(segments(base, cut(where.join(some, "node")), size, order))
     ends = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     links = cut(counted(found, parts_of(ends)))
     labels = components(links)
@@ -397,6 +402,7 @@ def assign(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id
             .withColumn("component_id", F.when(F.col("group").isNull(), F.col("_id")).otherwise(F.col("component_id"))))
 
 
+@passing_through(*KEYS)
 def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` with n_shingles, group (null without words) and component_id (least id that can be reached by links)."""
     base = keyed(docs.drop("n_shingles", "group", "component_id"), key, text)
