@@ -31,9 +31,12 @@ def vocabulary_path() -> str:
 
 @query("op3_suffix_dedup")
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`kept_text`: what is left of each text, null where it was null."""
+    from pyspark.sql import functions as F
+
     from floegrid.llm.suffix_dedup import remove_repeats
-    return remove_repeats(table(spark, sf_dir, "documents"), keep_text=False).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.when(F.col("text").isNotNull(), F.col("kept_text")).alias("kept_text"))
 
 
 @query("op4_bpe")

@@ -3,8 +3,8 @@
 A byte goes if it is covered by a string of `length` bytes that also starts anywhere else. Sorting every suffix
 would exchange many times the corpus, so only some suffixes are sorted:
 
-1. *Anchors.* The anchor of a start is, among it and the next WINDOW - 1 starts, the one whose GRAM bytes have the least
-   hash. It lies inside the string of `length` bytes and depends on its bytes alone, so equal strings have it at the
+1. *Anchors.* The anchor of a start is, among it and the next `window` - 1 starts, the one whose `gram` bytes have the least
+   hash. Both follow from `length` (`anchor_shape`). It lies inside the string of `length` bytes and depends on its bytes alone, so equal strings have it at the
    same place. Consecutive starts mostly share their anchor.
 2. *Duplicate detection.* Anchors are counted by a fingerprint of their bytes. A stretch of repeated anchors that
    is too short to hold a string of `length` bytes between two unrepeated ones is left out. This bounds what is exchanged by the
@@ -18,7 +18,8 @@ would exchange many times the corpus, so only some suffixes are sorted:
    context and the shared prefix; strings that occur twice are marked.
 
 The order is by fingerprint first and bytes second, so ranges are equal parts of the fingerprint space and need no sample on the
-driver. A fingerprint with more than RANGE_ROWS suffixes is dealt to several tasks; strings that occur once in a task
+driver; their number follows from the count of suffixes, about RANGE_ROWS in each, so a task's share does not grow with the corpus.
+A fingerprint with more than RANGE_ROWS suffixes is dealt to several tasks; strings that occur once in a task
 there are counted across tasks by hash. Equal texts are worked on once, with their number of copies.
 Strings are told apart by 64-bit hashes of all their bytes.
 
@@ -36,20 +37,25 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from floegrid.llm.tables import cut, cut_by, partitions, text_key
+from floegrid.llm.tables import cut, cut_by, passing_through, text_key
 from floegrid.llm.text import BYTE_VALUE, MIX_A, chunks, mix, packed, pair
 
 LENGTH = 400
-GRAM = 64
-WINDOW = 256
 RANGE_ROWS = 8_000
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """A 32-bit hash of the GRAM bytes from each start, by doubling; it only chooses anchors."""
+def anchor_shape(length: int) -> tuple[int, int]:
+    """Bytes of a gram and starts of a window, powers of two: about a sixth and at most three quarters of the length."""
+    if length < 16:
+        raise ValueError("length must be at least 16")
+    return 1 << (length // 6).bit_length() - 1, 1 << (3 * length // 4).bit_length() - 1
+
+
+def gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
+    """A 32-bit hash of the `gram` bytes from each start, by doubling; it only chooses anchors."""
     h = (BYTE_VALUE[data] >> np.uint64(32)).astype(np.uint32)
     n = 1
-    while n < GRAM:
+    while n < gram:
         h = (h[:-n] * np.uint32(0x9E3779B1)) ^ (h[n:] + np.uint32(n))
         h = (h ^ (h >> np.uint32(15))) * np.uint32(0x85EBCA77)
         n *= 2
@@ -70,12 +76,13 @@ def sliding_argmin(keys: np.ndarray, width: int) -> np.ndarray:
     return (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchors(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Places of the anchors, the first start of each, and its text; windows never cross texts."""
-    need = GRAM + WINDOW - 1
+    gram, window = anchor_shape(length)
+    need = gram + window - 1
     if len(data) < need:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    least = sliding_argmin(gram_hashes(data), WINDOW)
+    least = sliding_argmin(gram_hashes(data, gram), window)
     sizes = np.diff(offsets)
     windows = np.maximum(sizes - need + 1, 0)
     firsts = np.repeat(offsets[:-1], windows)
@@ -86,20 +93,20 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return places, starts[fresh], np.searchsorted(offsets, places, "right") - 1
 
 
-def fingerprints(data: np.ndarray, places: np.ndarray) -> np.ndarray:
+def fingerprints(data: np.ndarray, places: np.ndarray, gram: int) -> np.ndarray:
     h = np.zeros(len(places), np.uint64)
-    for i in range(GRAM):
+    for i in range(gram):
         h = h * MIX_A + BYTE_VALUE[data[places + i]]
     return mix(h)
 
 
-def anchor_rows(texts: DataFrame) -> DataFrame:
+def anchor_rows(texts: DataFrame, length: int) -> DataFrame:
     """k1, k2, copies, n_bytes, and place, first start and fingerprint of each of a text's anchors."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
             data, offsets = packed(batch.column("text"))
-            places, lows, owner = anchors(data, offsets)
-            prints = fingerprints(data, places)
+            places, lows, owner = anchors(data, offsets, length)
+            prints = fingerprints(data, places, anchor_shape(length)[0])
             bounds = pa.array(np.searchsorted(owner, np.arange(batch.num_rows + 1)).astype(np.int32))
             base = offsets[owner]
             yield pa.RecordBatch.from_arrays(
@@ -289,7 +296,7 @@ def merge_ranges(runs: DataFrame, length: int) -> DataFrame:
 
     Rows with h are strings of a fingerprint that several tasks share; their occurrences `n` in this task are to be summed.
     """
-    core = length - WINDOW + 8
+    core = length - anchor_shape(length)[1] + 8
 
     def run(_: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inputs = [r for b in batches for r in b.to_pylist()]
@@ -375,10 +382,7 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
 
     `texts` has one row for each different text: k1, k2, text, copies. It is read twice and best kept in buckets of its key.
     """
-    if length < GRAM + WINDOW - 1:
-        raise ValueError(f"length must be at least {GRAM + WINDOW - 1}")
-    spark = texts.sparkSession
-    rows = cut(anchor_rows(texts.where(F.octet_length("text") >= length)))
+    rows = cut(anchor_rows(texts.where(F.octet_length("text") >= length), length))
     each = rows.select("k1", "k2", "copies", F.posexplode("prints").alias("i", "print"))
     # Written, so that the join below shuffles both sides and the runtime can split a print that a third of the texts have.
     often = cut(each.groupBy("print").agg(F.sum("copies").alias("_n"), F.count(F.lit(1)).alias("_rows"))
@@ -386,11 +390,12 @@ def repeated_starts(texts: DataFrame, length: int = LENGTH) -> DataFrame:
                 .select("print", F.ceil(F.col("_rows") / RANGE_ROWS).cast("int").alias("parts")))
     hits = (each.select("k1", "k2", "i", "print").join(often, "print")
             .groupBy("k1", "k2").agg(F.collect_list(F.struct("i", "parts")).alias("hits")))
-    kept = hits.join(rows, ["k1", "k2"]).mapInArrow(
+    kept = cut(hits.join(rows, ["k1", "k2"]).mapInArrow(
         _stretches(length), "k1 long, k2 long, copies long, "
-        "anchors array<struct<at:int,low:int,high:int,print:long,parts:int>>")
+        "anchors array<struct<at:int,low:int,high:int,print:long,parts:int>>"))
+    ranges = 1 + (kept.agg(F.sum(F.size("anchors"))).first()[0] or 0) // RANGE_ROWS
     found = kept.join(texts.select("k1", "k2", "text"), ["k1", "k2"])
-    merged = cut(merge_ranges(run_rows(found, partitions(spark), length), length))
+    merged = cut(merge_ranges(run_rows(found, ranges, length), length))
     sure = merged.where(F.col("h").isNull()).select("k1", "k2", "first", "last")
     open_ = merged.where(F.col("h").isNotNull())
     wide = open_.groupBy("h").agg(F.sum("n").alias("_n"), F.count(F.lit(1)).alias("_tasks")).where(
@@ -404,7 +409,8 @@ def _stretches(length: int):
     All anchors of the starts within a repeated string's first bytes are repeated themselves, so a string starts only
     where a stretch of repeated anchors goes on for `more` starts.
     """
-    need = GRAM + WINDOW - 1
+    gram, window = anchor_shape(length)
+    need = gram + window - 1
     more = length - need
     kind = pa.list_(pa.struct([("at", pa.int32()), ("low", pa.int32()), ("high", pa.int32()), ("print", pa.int64()),
                                ("parts", pa.int32())]))
@@ -456,6 +462,7 @@ def _remove(raw: bytes, starts: list[tuple[int, int]], length: int) -> tuple[byt
     return b"".join(kept), removed, spans
 
 
+@passing_through("_k1", "_k2")
 def remove_repeats(docs: DataFrame, length: int = LENGTH, text: str = "text", keep_text: bool = True) -> DataFrame:
     """`docs` with n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, `kept_text`.
 

@@ -37,6 +37,11 @@ def plain_words(text: str | None) -> list[str]:
 
 
 def removed_brute(texts: list[str | None], length: int) -> list[tuple[int, int, int, str]]:
+    return [(n, gone, spans, hashlib.sha256(kept).hexdigest()) for n, gone, spans, kept in cut_brute(texts, length)]
+
+
+def cut_brute(texts: list[str | None], length: int) -> list[tuple[int, int, int, bytes]]:
+    """Bytes, removed bytes, removed runs and what is left of each text."""
     raw = [(t or "").encode() for t in texts]
     seen = Counter(x[i:i + length] for x in raw for i in range(len(x) - length + 1))
     out = []
@@ -47,7 +52,7 @@ def removed_brute(texts: list[str | None], length: int) -> list[tuple[int, int,
                 gone[i:i + length] = b"\x01" * length
         kept = bytes(b for b, g in zip(x, gone) if not g)
         spans = len(re.findall(b"\x01+", bytes(gone)))
-        out.append((len(x), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+        out.append((len(x), sum(gone), spans, kept))
     return out
 
 

@@ -34,12 +34,11 @@ def test_stages_by_brute_force(spark, steps):
     groups = samples.components_brute([(r.doc_id, r.text) for r in good], 5)
     assert {r.doc_id for r in single} == {i for i, g in groups.items() if g[2]}
     texts = [r.text for r in single]
-    want = samples.removed_brute(texts, 400)
+    want = samples.cut_brute(texts, corpus_pipeline.REPEAT_BYTES)
     by_id = {r.doc_id: r for r in cleaned}
-    assert len(by_id) == len(single)
+    assert len(by_id) == len(single) and sum(w[1] for w in want)
     for r, w in zip(single, want):
-        if not w[1]:
-            assert by_id[r.doc_id].text == r.text
+        assert by_id[r.doc_id].text == w[3].decode("utf-8", "ignore")
         assert by_id[r.doc_id].n_chars == len(by_id[r.doc_id].text)
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").select("item_id", "text").collect()]
     found = samples.contamination_brute([(r.doc_id, r.text) for r in cleaned], items)

@@ -59,15 +59,17 @@ def long_repeats(rng: random.Random) -> list[str | None]:
     return texts
 
 
-@pytest.mark.parametrize("range_rows", [8_000, 3])
-def test_long_repeats_match_brute_force(spark, monkeypatch, range_rows):
+@pytest.mark.parametrize(("range_rows", "length"), [(8_000, 400), (3, 400), (50, 240), (3, 37), (8_000, 16)])
+def test_long_repeats_match_brute_force(spark, monkeypatch, range_rows, length):
     """With 3 suffixes in a range, most fingerprints are shared by several tasks."""
     monkeypatch.setattr(suffix_dedup, "RANGE_ROWS", range_rows)
     texts = long_repeats(random.Random(5))
     docs = samples.frame(spark, [(i, t, None, None, None) for i, t in enumerate(texts)]).withColumns(
         {"n_bytes": F.lit("clash"), "_k1": F.lit(1)})
-    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.remove_repeats(docs).collect()}
-    want = samples.removed_brute(texts, 400)
+    found = suffix_dedup.remove_repeats(docs, length).collect()
+    assert all(r["_k1"] == 1 for r in found)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found}
+    want = samples.removed_brute(texts, length)
     assert got == dict(enumerate(want)) and sum(w[1] for w in want) > 20_000
 
 
