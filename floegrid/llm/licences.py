@@ -12,7 +12,8 @@ pairs of one of them, all its numbers, and no other mark (such as Affero or NonC
 
 A line or window that is a licence with MIN_CHANCE and looks ALIKE, but whose family is below MIN_CHANCE or not confirmed, is of an unknown
 licence; windows over each other are one find. A find that is alone in a line of at most LONG words has the line's bounds. The model is trained on the driver on variations of the templates and at most `ordinary`
-paragraphs of the corpus, those of the documents with the least hash; its size is fixed. Rows are independent: there is no shuffle besides that choice.
+lines of the corpus, one whole line, chosen by hash, of each of the documents with the least hash. Lines that look ALIKE to a template or speak of licences or rights are left
+out, as they may be notices of families without a template. The model's size is fixed. Rows are independent: there is no shuffle besides that choice.
 
 Defined results: a null or empty text has no paragraph and no licence; repeated rows get equal results; an empty table is trained on templates alone.
 Other columns are passed through; made columns replace columns of their names.
@@ -268,10 +269,16 @@ def template_share(own: np.ndarray, template: Template) -> float:
     return float(np.isin(template.features, own).mean())
 
 
-def template_spans(words: Words, templates: list[Template]) -> list[tuple[float, int, int, int]]:
+def template_index(templates: list[Template]) -> tuple[np.ndarray, np.ndarray]:
+    """The words and pairs of all templates, and for each template which of them are its own."""
+    every = np.unique(np.concatenate([t.features for t in templates]))
+    return every, np.stack([np.isin(every, t.features) for t in templates])
+
+
+def template_spans(words: Words, templates: list[Template], index: tuple[np.ndarray, np.ndarray]) -> list[tuple[float, int, int, int]]:
     """(share, template, first, last) of the shortest spans of a run that hold MIN_SHARE of a template within a little more than its length."""
     run = words.run
-    every = np.unique(np.concatenate([t.features for t in templates]))
+    every, own = index
     # A pair is placed at its second word, so a span holds it when it holds both words.
     at = np.concatenate([np.arange(len(run)), np.arange(1, len(run) + 1)])
     kind = np.concatenate([words.hashes, words.pairs])
@@ -281,7 +288,7 @@ def template_spans(words: Words, templates: list[Template]) -> list[tuple[float,
     at, slot = at[some], slot[some]
     out = []
     for k, t in enumerate(templates):
-        mine = np.isin(every, t.features)[slot]
+        mine = own[k][slot]
         place, what = at[mine], slot[mine]
         need, size = int(np.ceil(MIN_SHARE * len(t.features))), t.length + t.length // 4 + 4
         if len(place) < need:
@@ -306,9 +313,11 @@ def template_spans(words: Words, templates: list[Template]) -> list[tuple[float,
     return out
 
 
-def find_notices(words: Words, model: LicenceModel, templates: list[Template]) -> list[tuple[int, int, str, float, float]]:
+def find_notices(words: Words, model: LicenceModel, templates: list[Template],
+                 index: tuple[np.ndarray, np.ndarray] | None = None) -> list[tuple[int, int, str, float, float]]:
     """(first word, last word excluded, family, chance, share) of all finds in the order of their places; see the module's docstring."""
     n = len(words.hashes)
+    index = index or template_index(templates)
     if not n:
         return []
     finds: list[tuple[int, int, str, float, float]] = []
@@ -327,7 +336,7 @@ def find_notices(words: Words, model: LicenceModel, templates: list[Template]) -
             if sure or (chances[i, -1] <= 1 - MIN_CHANCE and share >= ALIKE):
                 yield int(first[i]), int(last[i]), model.families[k] if sure else UNKNOWN_FAMILY, float(chances[i, k]), share
 
-    spans = [x for x in template_spans(words, templates) if templates[x[1]].confirmed(features_of(words, x[2], x[3]))]
+    spans = [x for x in template_spans(words, templates, index) if templates[x[1]].confirmed(features_of(words, x[2], x[3]))]
     spans.sort(key=lambda x: (-x[0], x[2] - x[3], x[2]))
     chances = model.chances(words, np.array([x[2] for x in spans], np.int64), np.array([x[3] for x in spans], np.int64))
     for (share, k, first, last), chance in zip(spans, chances):
@@ -389,22 +398,27 @@ def find_bounds(words: Words, finds: list[tuple[int, int, str, float, float]]) -
     return out
 
 
+# Beginnings of words that speak of licences or rights in the languages of the corpus.
+OF_RIGHTS = ("licen", "lizenz", "copyright", "rights", "permission", "derechos", "droits", "rechte", "urheber", "redistribut", "warrant")
+
+
 def ordinary_paragraphs(docs: DataFrame, ordinary: int, key: str, text: str) -> list[str]:
-    """At most `ordinary` paragraphs, one from each of the documents with the least hash, without those near a template."""
-    first = F.try_element_at(F.filter(F.split(text, "\n"), lambda s: F.length(F.trim(s)) > 0), F.lit(-1))
+    """At most `ordinary` whole lines, one by hash from each of the documents with the least hash, without any that may be a notice."""
+    lines = F.filter(F.split(text, "\n"), lambda s: F.length(F.trim(s)) > 0)
     # Only about twice the wanted rows pass the hash filter, so what tasks send does not grow with the number of documents.
     share = min(1.0, 2 * ordinary / max(docs.count(), 1))
     rows = (docs.where(F.col(text).isNotNull()).withColumn("h", F.xxhash64(key, text))
-            .where(F.pmod("h", F.lit(1 << 31)) < int(share * (1 << 31))).select("h", F.substring(first, 1, 2000).alias("p"))
-            .where(F.col("p").isNotNull()).orderBy("h", "p").limit(ordinary).collect())
-    found = [r["p"] for r in rows]
+            .where(F.pmod("h", F.lit(1 << 31)) < int(share * (1 << 31))).select("h", lines.alias("lines")).where(F.size("lines") > 0)
+            .select("h", F.element_at("lines", F.pmod(F.xxhash64("h"), F.size("lines")).cast("int") + 1).alias("p"))
+            .orderBy("h", "p").limit(ordinary).collect())
+    found = [r["p"] for r in rows if not any(x in r["p"].lower() for x in OF_RIGHTS)]
     if not found:
         return []
     templates = template_list()
-    w = words_of(pa.array([f.replace("\n", " ") for f in found], pa.string()))
+    w = words_of(pa.array(found, pa.string()))
     bounds = np.searchsorted(w.line, np.arange(len(w.owner) + 1))
     return [found[o] for i, o in enumerate(w.owner)
-            if all(template_share(features_of(w, bounds[i], bounds[i + 1]), t) < 0.5 for t in templates)]
+            if all(template_share(features_of(w, bounds[i], bounds[i + 1]), t) < ALIKE for t in templates)]
 
 
 def scan_licences(docs: DataFrame, key: str = "doc_id", text: str = "text", ordinary: int = ORDINARY) -> DataFrame:
@@ -415,7 +429,9 @@ def scan_licences(docs: DataFrame, key: str = "doc_id", text: str = "text", ordi
     """
     model = train(ordinary_paragraphs(docs, ordinary, key, text))
     shared = docs.sparkSession.sparkContext.broadcast(
-        ((model.families, model.weights.astype(np.float32), model.bias, model.temperature), template_list()))
+        ((model.families, model.weights.astype(np.float32), model.bias, model.temperature),
+         # Plain values: a broadcast object of a class of this package would need the package on the worker's path.
+         [(t.family, t.features, t.length, t.needed, t.barred) for t in template_list()]))
     made = {"n_paragraphs": "long", "licences": "string", "n_licence": "long", "n_unknown": "long",
             "finds": "array<struct<paragraph:int,family:string,chance:double,share:double,first:int,end:int>>"}
     kept = [f for f in docs.schema.fields if f.name not in made]
@@ -424,8 +440,9 @@ def scan_licences(docs: DataFrame, key: str = "doc_id", text: str = "text", ordi
                                      ("share", pa.float64()), ("first", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, templates = shared.value
-        known = LicenceModel(*parts)
+        parts, plain = shared.value
+        known, templates = LicenceModel(*parts), [Template(*t) for t in plain]
+        index = template_index(templates)
         for batch in chunks(batches, text):
             column = batch.column(text)
             words = words_of(column)
@@ -433,7 +450,7 @@ def scan_licences(docs: DataFrame, key: str = "doc_id", text: str = "text", ordi
             _, offsets = packed(column)
             numbers = np.arange(len(owner)) - np.searchsorted(owner, owner)
             finds: list[list[dict]] = [[] for _ in range(batch.num_rows)]
-            found = find_notices(words, known, templates)
+            found = find_notices(words, known, templates, index)
             for (first, _, family, chance, share), (start, end) in zip(found, find_bounds(words, found)):
                 i = words.line[first]
                 finds[owner[i]].append({"paragraph": int(numbers[i]), "family": family, "chance": chance, "share": share,
