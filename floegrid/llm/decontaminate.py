@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from floegrid.llm.tables import cut, text_key
+from floegrid.llm.tables import cut, passing_through, text_key
 from floegrid.llm.text import MIX_A, chunks, mix, packed, texts_words, word_table
 
 SPAN = 13
@@ -160,6 +160,7 @@ def extended(pairs: DataFrame) -> DataFrame:
     return long.select(*names).unionByName(short.select(*names))
 
 
+@passing_through("_k1", "_k2")
 def find_benchmark(docs: DataFrame, items: DataFrame, text: str = "text", item_key: str = "item_id",
                    item_text: str = "text") -> DataFrame:
     """`docs` with n_words, n_hit, n_items, item_ids (sorted) and hit_spans (first and last word of maximal hits)."""

@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from floegrid.llm.tables import cut, text_key
+from floegrid.llm.tables import cut, passing_through, text_key
 from floegrid.llm.text import SPACE, chunks, mix, pair, texts_words, word_table
 
 BANDS = 50
@@ -289,6 +289,7 @@ def assign(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id
             .withColumn("kept", F.col("_id").eqNullSafe(F.col("component_id"))))
 
 
+@passing_through(*KEYS)
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """`docs` with n_shingles, group (null without words), component_id (least id that can be reached) and kept."""
     base = keyed(docs.drop("n_shingles", "group", "component_id", "kept"), key, text)

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from floegrid.llm.tables import cut
+from floegrid.llm.tables import cut, passing_through
 
 WINDOW = 8
 MIN_WORDS = 20
@@ -99,6 +99,7 @@ def host_verdicts(rated: DataFrame, host: str = "source", max_rate: float = MAX_
     return hosts.withColumn("host_rate", rate).withColumn("host_kept", F.col("host_rate") <= max_rate)
 
 
+@passing_through("_r", "_host")
 def judge(docs: DataFrame, text: str = "text", host: str = "source", max_rate: float = MAX_RATE) -> DataFrame:
     """`docs` with the document rules, base_failed, the host's figures and kept."""
     made = [*RULES, "base_failed", "host_docs", "host_failed", "host_rate", "host_kept", "kept"]

@@ -16,6 +16,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from floegrid.llm.tables import passing_through
+
 BUCKETS = 2048
 SIZES = (2, 3, 4)
 SCALE = 1 << 16
@@ -139,6 +141,7 @@ def _points(text: Column) -> Column:
     return F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.ascii(c))
 
 
+@passing_through("_url", "_w")
 def filter_urls(pages: DataFrame, url: str = "url", model: tuple[int, list[int]] | None = None,
                 rules: Sequence[tuple[str, str, str]] = tuple(RULES)) -> DataFrame:
     """`pages` with host, path, rule (null if none fits), score (in units of 1 / SCALE) and verdict (allow or block)."""
