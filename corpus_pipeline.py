@@ -21,6 +21,8 @@ from floegrid.llm.tables import cut, table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 ORACLE_SQL = None
+# Passages of more than 50 words are longer than this in all languages of the corpus; shorter repeats stay.
+REPEAT_BYTES = 240
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +38,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Remaining text without long repeats; a character cut in two by a removed span goes with it."""
-    return (remove_repeats(docs).withColumn("text", F.when(F.col("text").isNotNull(), F.col("kept_text")))
+    return (remove_repeats(docs, REPEAT_BYTES).withColumn("text", F.when(F.col("text").isNotNull(), F.col("kept_text")))
             .withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS))
 
 
