@@ -24,15 +24,16 @@ from floegrid.operators.warp import warp
 from floegrid.products import PRODUCTS
 from floegrid.sources.fields import clean_field
 from floegrid.sources.granules import scan_granules
-from floegrid.sources.sinks import write_footprints, write_overlaps
+from floegrid.sources.sinks import read_overlaps, write_footprints, write_overlaps
 
 
 def overlap_index(spark: SparkSession, pages: str, start: date, end: date, out: str,
                   glob: str | None = None, bbox: tuple[float, float, float, float] | None = None,
                   short_names: Sequence[str] | None = None, newest: int = 0,
-                  min_km2: float = 100.0) -> DataFrame:
+                  min_km2: float = 100.0, max_day_diff: int | None = None) -> DataFrame:
     """Footprints and the overlap index of catalogue pages, written and read back.
 
+    With `max_day_diff`, pairs are limited to so many days apart before they are made: the choice for a long archive.
     The granule table is written once and read by both sides of the join, which cuts the
     lineage of footprint building at a shared folder.
     """
@@ -42,8 +43,8 @@ def overlap_index(spark: SparkSession, pages: str, start: date, end: date, out:
     granules.write.mode("overwrite").parquet(f"{out}/granules")
     granules = spark.read.parquet(f"{out}/granules")
     write_footprints(granules, f"{out}/footprints")
-    write_overlaps(overlap_join(granules, min_km2), f"{out}/overlaps")
-    return overlap_order(spark.read.parquet(f"{out}/overlaps"))
+    write_overlaps(overlap_join(granules, min_km2, max_day_diff), f"{out}/overlaps")
+    return overlap_order(read_overlaps(spark, f"{out}/overlaps"))
 
 
 def mosaic_dates(primary: DataFrame, secondary: DataFrame, listing: DataFrame, today: Column,

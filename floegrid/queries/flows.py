@@ -11,16 +11,18 @@ from floegrid.operators import mosaic as M, tiles as T
 from floegrid.operators.cube import Cube
 from floegrid.operators.geocode import geocode_tiles
 from floegrid.operators.lod import chunk_no, load_modes, pending_chunks
+from floegrid.operators.overlap import overlap_order
 from floegrid.operators.stats import merge_bounds, union_bounds
 from floegrid.plans.bindings import BINDINGS, bind, cte, read_table
 from floegrid.queries import query
 from floegrid.queries.geometry import _AREA_SQL, corner_ring, rings
+from floegrid.queries.overlap import box_overlaps, pairs_sql
 from floegrid.queries.pixels import RC
 from floegrid.session import checkpoint_dir
 from floegrid.sources.fields import force_grid
 from floegrid.sources.granules import GRANULE_PAGE, parse_granules
 from floegrid.sources.objects import object_refs
-from floegrid.sources.sinks import arrow_features, write_features
+from floegrid.sources.sinks import arrow_features, read_overlaps, write_features, write_overlaps
 from floegrid.streaming.jobs import (read_items, stream_catalog, stream_granules, stream_daily_counts, stream_dedupe, stream_lod,
                                      stream_upsert_cube)
 
@@ -394,3 +396,14 @@ def retiled(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = T.retile(placed, 48, 32, 120, 90, keys=["collection", "ord"], row_off="dr", col_off="dc")
     out = T.explode_tiles(T.mosaic_tiles(moved, keys=["collection"]), 32, ["collection"])
     return out.select("collection", "row", "col", F.col("value").cast("double").alias("value"))
+
+
+@query("overlap_index_read", pairs_sql() + """
+SELECT granule_a, granule_b, day_diff, intersect_km2, iou FROM pairs WHERE day_diff = 4 AND iou >= 0.2
+ORDER BY intersect_km2 DESC, granule_a, granule_b""")
+def overlap_index_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index written as its sorted file, then read with the filter that its order is made for."""
+    path = scratch(spark, "overlaps")
+    write_overlaps(box_overlaps(spark, sf_dir), path, group_bytes=1 << 17)
+    return overlap_order(read_overlaps(spark, path, day_diff=4, min_iou=0.2)).select(
+        "granule_a", "granule_b", "day_diff", "intersect_km2", "iou")
