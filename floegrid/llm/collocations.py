@@ -34,9 +34,8 @@ HEAD = 1 << 20
 SIDE = 2048
 FLOOR = 10
 STRIP_MASS = 1 << 24
-FLUSH = 6_000_000
+FLUSH = 2_000_000
 BREAKS = b".,;:!?\n\x0b\x0c\r"
-CHUNK = 8 << 20
 UNKNOWN = "und"
 
 
@@ -84,7 +83,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
-        for batch in chunks(batches, "_text", CHUNK):
+        for batch in chunks(batches, "_text"):
             data, starts, ends, keys, _ = words_of(batch)
             if not len(keys):
                 continue
@@ -99,7 +98,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             row = np.searchsorted(packed(batch.column("_text"))[1], starts[at], "right") - 1
             held.append((one[order], n[order], words, batch.column("_lang").take(pa.array(row))))
             size += len(one)
-            if size > 1_000_000:
+            if size > 500_000:
                 yield _summed(held)
                 held, size = [], 0
         if held:
@@ -201,7 +200,7 @@ def neighbour_counts(docs: DataFrame, words: Ranked, pairs: Ranked | None, floor
         held: list[tuple[np.ndarray, np.ndarray]] = []
         loose: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
-        for batch in chunks(batches, "_text", CHUNK):
+        for batch in chunks(batches, "_text"):
             _, _, _, keys, joined = words_of(batch)
             if len(keys) < 2:
                 continue
@@ -216,7 +215,7 @@ def neighbour_counts(docs: DataFrame, words: Ranked, pairs: Ranked | None, floor
                 place = np.flatnonzero(good[:-1] & good[1:] & (at[1:] == at[:-1] + 1))
                 a, b, first, second = pid[place], ids[at[place] + 2], both[place], keys[at[place] + 2]
             ranked_ = (a >= 0) & (b >= 0)
-            held.append((a[ranked_], b[ranked_]))
+            held.append((a[ranked_].astype(np.int32), b[ranked_].astype(np.int32)))
             if not ranked_.all():
                 loose.append((first[~ranked_], second[~ranked_]))
             size += len(a)
@@ -237,12 +236,12 @@ def neighbour_counts(docs: DataFrame, words: Ranked, pairs: Ranked | None, floor
             w, p = Ranked(*w), Ranked(*p) if p else None
             wide = int(_Strips(p or w, w, side, strip_mass).cells(np.array([t1]), np.array([t2]))[0])
             cells, total = np.zeros(0, np.int64), np.zeros(0, np.int64)
-            # Blocks are folded in by groups of a few million entries, so memory follows the strip and not the number of tasks.
+            # Blocks are folded in by groups of about a million entries, so memory follows the strip and not the number of tasks.
             part, size = [], 0
             for k, blob in enumerate(blobs):
                 part.append(_unpack(blob, np.uint32, np.uint32))
                 size += len(part[-1][0])
-                if size > 4_000_000 or k + 1 == len(blobs):
+                if size > 1_000_000 or k + 1 == len(blobs):
                     cells, total = _counted(np.concatenate([cells, *(c.astype(np.int64) for c, _ in part)]),
                                             np.concatenate([total, *(n.astype(np.int64) for _, n in part)]), wide)
                     part, size = [], 0
@@ -270,7 +269,7 @@ def _tiles(held: list, loose: list, strips: _Strips, side: int, tails: int) -> I
     """A block of counts for each strip of each tile met, and blocks of coordinates for what has no id."""
     rows: list[tuple[int, int, int, bytes]] = []
     a, b = (np.concatenate(c) for c in zip(*held))
-    tile = (a // side << 32) | (b // side)
+    tile = ((a // side).astype(np.int64) << 32) | (b // side)
     order = np.argsort(tile, kind="stable")
     a, b, tile = a[order], b[order], tile[order]
     begin = np.flatnonzero(np.concatenate(([True], tile[1:] != tile[:-1]))[:len(tile)])
