@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -103,3 +104,21 @@ def with_polar(frame: DataFrame, lon: str, lat: str, x: str = "x", y: str = "y",
     shared = frame.withColumns({"_rho": q["rho"], "_lam": q["lam"]})
     return shared.withColumns({x: F.col("_rho") * F.sin("_lam"), y: -F.col("_rho") * F.cos("_lam")}
                               ).drop("_rho", "_lam")
+
+
+def polar_arrays(lon: np.ndarray, lat: np.ndarray, crs: PolarCrs = EPSG3413) -> tuple[np.ndarray, np.ndarray]:
+    """`to_polar` of arrays, for functions that work on whole tiles."""
+    phi = np.radians(lat)
+    rho = crs.rho_per_t * np.tan(math.pi / 4 - phi / 2) * np.exp(crs.e * np.arctanh(crs.e * np.sin(phi)))
+    lam = np.radians(lon - crs.lon_0)
+    return rho * np.sin(lam), -rho * np.cos(lam)
+
+
+def lonlat_arrays(x: np.ndarray, y: np.ndarray, crs: PolarCrs = EPSG3413) -> tuple[np.ndarray, np.ndarray]:
+    """`to_lonlat` of arrays: the conformal latitude is turned into the geodetic one by fixed-point steps."""
+    t = np.hypot(x, y) / crs.rho_per_t
+    phi = math.pi / 2 - 2 * np.arctan(t)
+    for _ in range(6):
+        phi = math.pi / 2 - 2 * np.arctan(t * np.exp(-crs.e * np.arctanh(crs.e * np.sin(phi))))
+    lon = np.degrees(np.arctan2(x, -y)) + crs.lon_0
+    return np.where(lon < -180, lon + 360, np.where(lon > 180, lon - 360, lon)), np.degrees(phi)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from floegrid.functions.geometry import close_ring, geojson_geometry, let, pieces_bbox, split_antimeridian, unwrap_lons
 from floegrid.operators.dates import dedupe_latest
 
 # Default extents of a collection without boxes and of the polar band.
@@ -95,16 +96,35 @@ def bbox_polygon(west: Column, south: Column, east: Column, north: Column) -> Co
 
 
 def raster_item(item: Column, collection: Column, bbox: Sequence[Column], time: Column,
-                href: Column) -> Column:
-    """JSON item of one raster file."""
-    return F.to_json(F.struct(
+                href: Column, geometry: Column | None = None) -> Column:
+    """JSON item of one raster file; its geometry is the box, or GeoJSON text that is given."""
+    text = F.to_json(F.struct(
         F.lit("Feature").alias("type"), F.lit("1.0.0").alias("stac_version"), item.alias("id"),
         collection.alias("collection"), F.array(*bbox).alias("bbox"),
-        bbox_polygon(*bbox).alias("geometry"),
+        (bbox_polygon(*bbox) if geometry is None else F.lit("@geometry@")).alias("geometry"),
         F.struct(F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("datetime")).alias("properties"),
         F.struct(F.struct(href.alias("href"),
                           F.lit("image/tiff; application=geotiff; profile=cloud-optimized").alias("type"),
                           F.array(F.lit("data")).alias("roles")).alias("asset")).alias("assets")))
+    return text if geometry is None else F.replace(text, F.lit('"geometry":"@geometry@"'), F.concat(F.lit('"geometry":'), geometry))
+
+
+def placed_item(item: Column, collection: Column, ring: Column, time: Column, href: Column, polar: bool = False) -> Column:
+    """JSON item of a raster with a corner ring in longitude and latitude that may cross the antimeridian.
+
+    A ring that crosses becomes a MultiPolygon of its pieces within 180 degrees, and the box is that of the pieces. With `polar` the box
+    is the polar band, as no box of a raster around the pole can be read from its corners.
+    """
+    pieces = split_antimeridian(unwrap_lons(close_ring(ring)))
+
+    def built(p: Column) -> Column:
+        box = pieces_bbox(p)
+        corners = [F.lit(v) for v in ARCTIC_BBOX] if polar else [box[i] for i in range(4)]
+        rings = F.transform(p, lambda r: F.transform(r, lambda q: F.array(q["x"], q["y"])))
+        one = F.to_json(F.struct(F.lit("Polygon").alias("type"), rings.alias("coordinates")))
+        geometry = F.when(F.size(p) > 1, geojson_geometry(p)).otherwise(one)
+        return raster_item(item, collection, corners, time, href, geometry)
+    return let(pieces, built)
 
 
 def series_item(collection: Column, bbox: Sequence[Column], t_min: Column, t_max: Column,

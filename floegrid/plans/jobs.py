@@ -11,15 +11,17 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from floegrid.functions.grids import ARCTIC_10KM, ARCTIC_40M, SEA_ICE_SOURCE, Grid
+from floegrid.functions.names import dated_key, item_id
 from floegrid.functions.vectors import GLYPH_BANDS
 from floegrid.operators import dates as D
+from floegrid.operators.catalog import ARCTIC_BBOX, raster_item
 from floegrid.operators.cube import Cube
-from floegrid.operators.geocode import geocode_tiles, project_gcps
+from floegrid.operators.geocode import geocode_requests, image_shapes, pad_tiles, project_gcps, pull_tiles
 from floegrid.operators.lod import arrows, coregister, glyph_segments, lod_tiers
 from floegrid.operators.mosaic import SLICE
 from floegrid.operators.overlap import overlap_join, overlap_order
 from floegrid.operators.pyramid import overview
-from floegrid.operators.tiles import calibrate_tiles, mosaic_tiles
+from floegrid.operators.tiles import TILE_COLUMNS, calibrate_tiles, mosaic_tiles, overview_tiles
 from floegrid.operators.warp import warp
 from floegrid.products import PRODUCTS
 from floegrid.sources.fields import clean_field
@@ -70,20 +72,35 @@ def radar_mosaic(dn_tiles: DataFrame, lut: DataFrame, gcps: DataFrame, conventio
     """Daily mosaic tiles per convention from digital-number tiles.
 
     dn_tiles: granule, polarization, acq_date, ord (paint order, an integer per granule) and the
-    tile columns. gcps: granule, row, col, lon, lat.
+    tile columns. gcps: granule, row, col, lon, lat. Pixels are calibrated once, with the border that resampling needs already around
+    their tile; what only asks for sizes reads the digital-number tiles' numbers. The spline depends on the granule alone.
     """
     wanted = lut.where(F.col("calibration").isin(list(conventions)))
-    db = calibrate_tiles(dn_tiles, wanted, tile).withColumn(
+    padded = pad_tiles(dn_tiles.select("granule", "polarization", "acq_date", "ord", *TILE_COLUMNS), ["granule", "polarization"])
+    db = calibrate_tiles(padded, wanted, tile).withColumn(
         "collection", F.replace(F.lit(template), F.lit("{calibration}"), F.col("calibration")))
-    # The spline depends on the granule alone; conventions are told apart by a composite name.
-    keyed = db.withColumn("image", F.concat_ws("|", "granule", "collection"))
-    points = (project_gcps(gcps).join(keyed.select("granule", "image").distinct(), "granule")
-              .select("image", "row", "col", "x", "y"))
-    partial = geocode_tiles(keyed, points, grid, tile, out_tile, keys=["image"],
-                            carry=["collection", "acq_date", "ord"])
+    asked = geocode_requests(project_gcps(gcps), image_shapes(dn_tiles, tile, ["granule"]), grid, tile, out_tile, ["granule"])
+    partial = pull_tiles(db, asked, grid, tile, out_tile, ["granule"], ["granule", "collection", "acq_date", "ord"])
     return mosaic_tiles(partial, "ord", SLICE)
 
 
+def radar_outputs(mosaic: DataFrame, prefix: str, filename: str, grid: Grid = ARCTIC_40M, out_tile: int = 512) -> tuple[DataFrame, DataFrame]:
+    """Overview tiles of daily mosaics, and the key and catalogue item of each.
+
+    One item for each collection and date, at midnight, with the box of the polar band, as the grid holds the pole; `filename` may
+    name {collection} and {date}.
+    """
+    levels = overview_tiles(mosaic, out_tile, keys=SLICE, height=grid.height, width=grid.width)
+    days = mosaic.select(*SLICE).distinct()
+    stamp = F.date_format("acq_date", "yyyyMMdd")
+    name = F.replace(F.replace(F.lit(filename), F.lit("{collection}"), F.col("collection")), F.lit("{date}"), stamp)
+    key = dated_key(prefix, F.col("collection"), F.col("acq_date"), name)
+    time = F.col("acq_date").cast("timestamp")
+    box = [F.lit(v) for v in ARCTIC_BBOX]
+    items = days.withColumn("key", key).withColumn("item", raster_item(item_id(F.col("key")), F.col("collection"), box, time, F.col("key")))
+    return levels, items
+
+
 def field_product(raw: DataFrame, product: str, src: Grid = SEA_ICE_SOURCE,
                   dst: Grid = ARCTIC_10KM) -> tuple[DataFrame, DataFrame]:
     """A product on the target grid, and its overview levels.

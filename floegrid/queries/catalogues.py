@@ -141,3 +141,26 @@ def selected_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = select_products(products, [("S1A", "_GRDM_")], F.lit("2024-01-05").cast("timestamp"),
                            F.lit("2024-01-20").cast("timestamp"), (60.0, 90.0))
     return kept.select("id", "name").orderBy("name")
+
+
+_ITEM_SQL = f"""WITH {cte('ring_b')}
+SELECT ord, CASE WHEN lon0 + 8 > 180 THEN 'MultiPolygon' ELSE 'Polygon' END AS kind,
+  round(CASE WHEN lon0 + 8 > 180 THEN -180.0 ELSE lon0 END, 6) AS west, lat0 AS south,
+  round(CASE WHEN lon0 + 8 > 180 THEN 180.0 ELSE lon0 + 8 END, 6) AS east, lat0 + 2 AS north,
+  60.0::DOUBLE AS polar_south, strftime(acq_date, '%Y-%m-%dT00:00:00Z') AS datetime FROM ring_b"""
+
+
+@query("dateline_items", _ITEM_SQL)
+def dateline_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of rasters whose corners may lie on both sides of the antimeridian, read back from their JSON text."""
+    from floegrid.queries.geometry import corner_ring
+    rows = bind(spark, sf_dir, "ring_b")
+    args = (F.col("ord").cast("string"), F.lit("c"), corner_ring(), F.col("acq_date").cast("timestamp"), F.lit("x.tif"))
+    made = rows.select("ord", K.placed_item(*args).alias("item"), K.placed_item(*args, polar=True).alias("polar"))
+
+    def number(path: str, item: str = "item"):
+        return F.round(F.get_json_object(item, path).cast("double"), 6)
+    return made.select(
+        "ord", F.get_json_object("item", "$.geometry.type").alias("kind"), number("$.bbox[0]").alias("west"),
+        number("$.bbox[1]").alias("south"), number("$.bbox[2]").alias("east"), number("$.bbox[3]").alias("north"),
+        number("$.bbox[1]", "polar").alias("polar_south"), F.get_json_object("item", "$.properties.datetime").alias("datetime"))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from floegrid.functions.grids import Grid
 from floegrid.operators import cube as C, dates as D, mosaic as M, pyramid as P, stats as S, tiles as T
-from floegrid.operators.geocode import fit_splines, geocode_tiles
+from floegrid.operators.geocode import fit_splines, geocode_tiles, warp_tiles
+from floegrid.operators.warp import warp
 
 
 def times(spark, *stamps, collection="c"):
@@ -313,6 +314,31 @@ def test_tile_pyramid_limits(spark):
     assert T.overview_tiles(tiles.limit(0), 8).count() == 0
 
 
+SOURCE_LONLAT = Grid("EPSG:4326", -180.0, 90.0, 5.0, 2.5, 72, 12)
+SOURCE_HUGHES = Grid("EPSG:3411", -3850000.0, 5850000.0, 200000.0, 200000.0, 38, 56)
+TARGET_POLAR = Grid("EPSG:3413", -2500000.0, 2600000.0, 70000.0, 70000.0, 70, 75)
+
+
+@pytest.mark.parametrize("src", [SOURCE_LONLAT, SOURCE_HUGHES])
+@pytest.mark.parametrize("method", ["bilinear", "near"])
+def test_warped_tiles_equal_warped_cells(spark, src, method):
+    """Over tile borders, holes, the edge of the source and, for longitudes, around the globe."""
+    rng = np.random.default_rng(3)
+    grid = rng.uniform(0, 100, (src.height, src.width))
+    grid[rng.random(grid.shape) < .1] = np.nan
+    rows = [(k, int(r), int(c), float(grid[r, c]) + off) for k, off in (("a", 0), ("b", 1000)) for r, c in zip(*np.nonzero(~np.isnan(grid)))]
+    df = spark.createDataFrame(rows, "collection string, row int, col int, value double")
+    tiles = T.assemble_tiles(df, 16, keys=["collection"], height=src.height, width=src.width)
+    want = {(r["collection"], r["row"], r["col"]): r["value"] for r in warp(df, src, TARGET_POLAR, method, keys=["collection"]).collect()}
+    for step in (1, 16):
+        out = T.explode_tiles(warp_tiles(tiles, src, TARGET_POLAR, 16, 20, method, ["collection"], step, 1e-4), 20, ["collection"])
+        got = {(r["collection"], r["row"], r["col"]): r["value"] for r in out.collect()}
+        # A position on the very edge of a source pixel may fall to either side.
+        assert len(got.keys() ^ want.keys()) <= len(want) // 500
+        far = [k for k in got.keys() & want.keys() if abs(got[k] - want[k]) > (1e-3 if step == 1 else 0.1)]
+        assert len(want) > 5000 and len(far) <= len(want) // 500
+
+
 def gcp_table(spark, fn, n=5, size=40):
     pts = [("g", float(r), float(c), *map(float, fn(r, c))) for r in np.linspace(0, size, n) for c in np.linspace(0, size, n)]
     return spark.createDataFrame(pts, "granule string, row double, col double, x double, y double")

@@ -69,6 +69,13 @@ def test_radar_mosaic(spark):
     assert {k[0] for k in got} == {"sar-sigma0", "sar-beta0"} and len(got) == 2 * 40 * 55
     assert got[("sar-sigma0", 5, 5)] == pytest.approx(20, abs=1e-3)
     assert got[("sar-sigma0", 5, 30)] == pytest.approx(20 + 20 * np.log10(2), abs=1e-3)
+    # Pixels are calibrated in one place of the plan: its table is joined once.
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("collect_set(line") == 1
+    levels, items = jobs.radar_outputs(out, "cogs", "{collection}_{date}.tif", grid, 32)
+    assert {r["level"] for r in levels.select("level").distinct().collect()} == {2, 4, 8, 16, 32}
+    keys = sorted(r["key"] for r in items.collect())
+    assert keys == [f"cogs/sar-{c}/2024/01/01/sar-{c}_20240101.tif" for c in ("beta0", "sigma0")]
 
 
 def counts(spark, rows):
