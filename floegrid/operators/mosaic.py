@@ -12,6 +12,22 @@ SLICE = ("collection", "acq_date")
 CELL = ("row", "col")
 
 
+def long_rank(*parts: tuple[Column | str, int]) -> Column:
+    """One long that sorts like its parts, the first one highest; each is a whole number of at most so many bits.
+
+    `max_by` over a long is a hash aggregate, over a struct a sort of every row. A value that does not fit is an error.
+    """
+    if sum(bits for _, bits in parts) > 63:
+        raise ValueError("a rank has 63 bits")
+    out = None
+    for part, bits in parts:
+        value = (F.col(part) if isinstance(part, str) else part).cast("long")
+        fits = F.when((value >= 0) & (value < F.lit(1 << bits)), value).otherwise(
+            F.raise_error(F.concat(F.lit(f"a part of a rank does not fit {bits} bits: "), value.cast("string"))).cast("long"))
+        out = fits if out is None else F.shiftleft(out, bits).bitwiseOR(fits)
+    return out
+
+
 def paint_rank(order: Sequence[str]) -> Column:
     """One ordering value; a single numeric column keeps the aggregate hash-based."""
     return F.col(order[0]) if len(order) == 1 else F.struct(*order)

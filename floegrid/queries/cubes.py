@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from floegrid.functions.grids import Grid, cell_center, snap_extent
 from floegrid.operators import cube as C, stats as S
 from floegrid.operators.dates import retain_newest
-from floegrid.operators.mosaic import mosaic
+from floegrid.operators.mosaic import long_rank, mosaic
 from floegrid.operators.tiles import assemble_tiles, explode_tiles
 from floegrid.plans.bindings import bind, cte
 from floegrid.queries import query
-from floegrid.queries.pixels import MOSAIC_SQL, RC, valid_mosaic
+from floegrid.queries.pixels import LINE, MOSAIC_SQL, RC, dated_rank, valid_mosaic
 
 
 def rasters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +73,7 @@ def build_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     boxes = boxes.withColumns({"xmax": F.col("xmin") + 76 * 40000, "ymin": F.col("ymax") - 112 * 40000})
     placed = C.place_cells(cells.withColumn("raster", F.col("k1")), boxes, C.raster_grid(boxes))
     return (placed.groupBy("acq_date", "row", "col")
-            .agg(F.max_by("value", F.struct("k1", "k2", "k3", "k4")).alias("value")))
+            .agg(F.max_by("value", long_rank(*LINE)).alias("value")))
 
 
 _G40 = Grid("EPSG:3413", -3850000.0, 5850000.0, 100000.0, 100000.0, 76, 112)
@@ -133,7 +133,7 @@ FROM m GROUP BY collection, month, row_ // 32, col_ // 32""")
 def retile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly cells to 32 x 32 tiles and back, summarised by position."""
     monthly = bind(spark, sf_dir, "cell_b").withColumn("month", F.trunc("acq_date", "month"))
-    m = mosaic(monthly, ["acq_date", "k1", "k2", "k3", "k4"], keys=["collection", "month"], cell=RC, value="dn")
+    m = mosaic(monthly.withColumn("rank", dated_rank()), ["rank"], keys=["collection", "month"], cell=RC, value="dn")
     tiles = assemble_tiles(m, 32, keys=["collection", "month"], cell=RC, value="dn")
     back = explode_tiles(tiles, 32, keys=["collection", "month", "ty", "tx"])
     idx = (F.col("row") % 32) * 32 + F.col("col") % 32

@@ -17,11 +17,13 @@ from floegrid.plans.bindings import BINDINGS, bind, cte, read_table
 from floegrid.queries import query
 from floegrid.queries.geometry import _AREA_SQL, corner_ring, rings
 from floegrid.queries.overlap import box_overlaps, pairs_sql
-from floegrid.queries.pixels import RC
+from floegrid.queries.pixels import RC, dated_rank
 from floegrid.session import checkpoint_dir
+from floegrid.sources.calibration import scan_calibration_lut
 from floegrid.sources.fields import force_grid
 from floegrid.sources.granules import GRANULE_PAGE, parse_granules
 from floegrid.sources.objects import object_refs
+from floegrid.sources.refs import Inventory, input_refs as source_refs, register_input_source
 from floegrid.sources.sinks import arrow_features, read_overlaps, write_features, write_overlaps
 from floegrid.streaming.jobs import (read_items, stream_catalog, stream_granules, stream_daily_counts, stream_dedupe, stream_lod,
                                      stream_upsert_cube)
@@ -135,7 +137,7 @@ SELECT collection, month AS acq_date, row_ AS row, col_ AS col, dn AS value FROM
 def cube_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly slices written to the stored cube and read back."""
     cells = bind(spark, sf_dir, "cell_b").withColumn("acq_time", F.trunc("acq_date", "month").cast("timestamp"))
-    m = M.mosaic(cells, ["acq_date", "k1", "k2", "k3", "k4"], keys=["collection", "acq_time"], cell=RC, value="dn")
+    m = M.mosaic(cells.withColumn("rank", dated_rank()), ["rank"], keys=["collection", "acq_time"], cell=RC, value="dn")
     cube = Cube(spark, scratch(spark, "cube"))
     cube.write_slices(m.select("collection", "acq_time", F.col("row_").alias("row"), F.col("col_").alias("col"),
                                F.col("dn").alias("value")), m.select("collection", "acq_time"))
@@ -251,7 +253,7 @@ _YEARLY = _MONTHLY.replace("'month'", "'year'").replace("AS month", "AS year")
 def _yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Yearly cells: collection, acq_time, row, col, value."""
     cells = bind(spark, sf_dir, "cell_b").withColumn("acq_time", F.trunc("acq_date", "year").cast("timestamp"))
-    m = M.mosaic(cells, ["acq_date", "k1", "k2", "k3", "k4"], keys=["collection", "acq_time"], cell=RC, value="dn")
+    m = M.mosaic(cells.withColumn("rank", dated_rank()), ["rank"], keys=["collection", "acq_time"], cell=RC, value="dn")
     return m.select("collection", "acq_time", F.col("row_").alias("row"), F.col("col_").alias("col"), F.col("dn").alias("value"))
 
 
@@ -407,3 +409,39 @@ def overlap_index_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_overlaps(box_overlaps(spark, sf_dir), path, group_bytes=1 << 17)
     return overlap_order(read_overlaps(spark, path, day_diff=4, min_iou=0.2)).select(
         "granule_a", "granule_b", "day_diff", "intersect_km2", "iou")
+
+
+@query("inventory_refs", f"""
+WITH {cte('listing_b')}
+SELECT 's3://bucket/' || key_ AS url, regexp_extract(key_, '([^/]*)$', 1) AS name, 's3' AS auth_kind, etag FROM listing_b""")
+def inventory_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing as inventory files, read through the user-defined source type."""
+    path = scratch(spark, "inventory")
+    (bind(spark, sf_dir, "listing_b").select(F.to_json(F.struct(F.col("key_").alias("key"), "etag")).alias("value"))
+     .repartition(4).write.text(path))
+    register_input_source(spark, Inventory)
+    path = path if "://" in path or path.startswith("file:") else f"file://{path}"
+    refs = source_refs(spark, "inventory", path=path, base="s3://bucket/")
+    return refs.select("url", "name", "auth_kind", F.col("metadata")["etag"].alias("etag"))
+
+
+@query("calibration_annotations", """
+WITH v AS (SELECT year(o_orderdate) AS y, month(o_orderdate) * 100 AS line, o_custkey % 5 AS p, count(*) AS n FROM orders GROUP BY ALL),
+l AS (SELECT DISTINCT y, line FROM v), g AS (SELECT y, line, unnest(range(5)) AS p FROM l)
+SELECT 'S1A_' || g.y AS granule, 'sigma0' AS calibration, CAST(g.line AS INTEGER) AS line, CAST(g.p * 100 AS INTEGER) AS pixel,
+  CAST(coalesce(n, 0) + 0.5 AS DOUBLE) AS k FROM g LEFT JOIN v USING (y, line, p)""")
+def calibration_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One annotation file a year, written as XML text from the orders of each month and read as table samples."""
+    months = read_table(spark, sf_dir, "orders").groupBy(F.year("o_orderdate").alias("y"), (F.month("o_orderdate") * 100).alias("line")).agg(
+        *[F.count_if(F.col("o_custkey") % 5 == p).alias(f"n{p}") for p in range(5)])
+    values = F.concat_ws(" ", *[F.format_string("%.1f", F.col(f"n{p}") + 0.5) for p in range(5)])
+    vector = F.format_string(
+        '<calibrationVector><line>%d</line><pixel count="5">0 100 200 300 400</pixel><sigmaNought count="5">%s</sigmaNought>'
+        '<betaNought count="5">1 1 1 1 1</betaNought><gamma count="5">1 1 1 1 1</gamma></calibrationVector>', "line", values)
+    text = F.concat(F.lit("<calibration><calibrationVectorList>"), F.array_join(F.collect_list(vector), ""),
+                    F.lit("</calibrationVectorList></calibration>"))
+    path = scratch(spark, "annotation")
+    (months.groupBy("y").agg(text.alias("value")).select(F.format_string("S1A_%d.SAFE", "y").alias("granule"), "value")
+     .write.partitionBy("granule").text(path))
+    found = scan_calibration_lut(spark, f"{path}/*/*.txt")
+    return found.select(F.regexp_replace("granule", "^granule=", "").alias("granule"), "calibration", "line", "pixel", "k")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from floegrid.functions import fields as FI, radiometry as R
 from floegrid.operators import mosaic as M, pyramid as P, stats as S
@@ -12,6 +12,8 @@ from floegrid.products import PRODUCTS
 from floegrid.queries import query
 
 ORDER = ["k1", "k2", "k3", "k4"]
+# A line of an order is unique, so the rest of the paint order never decides.
+LINE = (("k1", 44), ("k2", 3))
 IDS = "collection, acq_date, row_, col_, k1, k2, k3, k4"
 RC = ("row_", "col_")
 _ID = IDS.split(", ")
@@ -23,8 +25,8 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def valid_mosaic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mosaic of the cells whose digital number is above the noise; the rest is nodata."""
-    painted = cells(spark, sf_dir).withColumn("value", F.when(F.col("dn") > 5, F.col("value")))
-    return M.mosaic(painted, ORDER, cell=RC)
+    painted = cells(spark, sf_dir).withColumns({"value": F.when(F.col("dn") > 5, F.col("value")), "rank": M.long_rank(*LINE)})
+    return M.mosaic(painted, ["rank"], cell=RC)
 
 
 MOSAIC_SQL = f"""
@@ -105,6 +107,11 @@ l0 AS (SELECT collection, row_, col_, CAST(dn AS BIGINT) AS value FROM (
 """
 
 
+def dated_rank() -> Column:
+    """Paint order by date, then by line."""
+    return M.long_rank((F.unix_date("acq_date"), 16), *LINE)
+
+
 def dense_mosaic(spark: SparkSession, sf_dir: str) -> DataFrame:
     painted = cells(spark, sf_dir).withColumn("value", F.when(F.col("dn") > 5, F.col("dn")))
     return (M.mosaic(painted, ["acq_date", *ORDER], keys=["collection"], cell=RC)

@@ -69,6 +69,34 @@ def register_input_source(spark: SparkSession, cls: type[InputSource]) -> None:
     _REGISTERED.add(cls.kind)
 
 
+class Inventory(InputSource):
+    """Inventory files as storage services write them: one JSON object a line with key and etag; each file is one task's work.
+
+    Options: path, a folder of any file system that Arrow opens, and base, which goes before each key.
+    """
+
+    kind = "inventory"
+
+    def _files(self):
+        from pyarrow import fs
+        return fs.FileSystem.from_uri(self.options["path"])
+
+    def splits(self) -> list[str]:
+        from pyarrow import fs
+        system, folder = self._files()
+        return sorted(f.path for f in system.get_file_info(fs.FileSelector(folder, recursive=True))
+                      if f.is_file and not f.base_name.startswith(("_", ".")))
+
+    def list_inputs(self, split: str) -> Iterator[tuple[str, str, str, dict[str, str]]]:
+        import io
+        import json
+        system, _ = self._files()
+        with system.open_input_stream(split) as raw:
+            for line in io.TextIOWrapper(raw, "utf-8"):
+                row = json.loads(line)
+                yield self.options.get("base", "") + row["key"], row["key"].rsplit("/", 1)[-1], "s3", {"etag": row["etag"]}
+
+
 def parse_bbox(text: str) -> tuple[float, float, float, float]:
     try:
         west, south, east, north = (float(x) for x in text.split(","))
