@@ -13,6 +13,7 @@ the collection's row in `meta`, which names the version. Until then readers see
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -271,7 +272,7 @@ class Cube:
         held = self.meta().where(F.col("collection") == collection)
         times = rasters.select("collection", "acq_time")
         if mode == "append":
-            grid = held.select(*GRID_COLUMNS)
+            grid = self.spark.createDataFrame([held.select(*GRID_COLUMNS).head()], held.select(*GRID_COLUMNS).schema)
         else:
             boxes = rasters.select("ord", "xmin", "ymin", "xmax", "ymax", "res_x", "crs", "nodata")
             if mode == "rebuild":
@@ -288,6 +289,8 @@ class Cube:
                    .agg(F.max_by("value", "ord").alias("value")))
         if mode == "append":
             self.merge_slices(painted, times)
+            row = held.head()
+            self.write_meta(collection, grid, row["source_files_count"] + rasters.count(), row["version"] or 0)
             return mode
         version = self._versions().get(collection, 0)
         if mode == "rebuild":
@@ -298,17 +301,25 @@ class Cube:
             # Nothing reads the next version before its row is in `meta`; what a failed rebuild left there goes first.
             self._delete(f"{self._table(version + 1)}/collection={collection}")
             self.write_slices(kept.unionByName(painted), times, version + 1)
-            self.write_meta(collection, grid, rasters.count(), version + 1)
-            self._delete(f"{self._table(version)}/collection={collection}")
+            # The old version stays for readers that have planned on it, until `vacuum`.
+            self.write_meta(collection, grid, held.head()["source_files_count"] + rasters.count(), version + 1)
             return mode
         self.write_slices(painted, times, version)
         self.write_meta(collection, grid, rasters.count(), version)
         return mode
 
-    def sync(self, collection: str, desired: DataFrame, new: DataFrame, new_times: DataFrame) -> dict:
+    def vacuum(self) -> list[str]:
+        """Delete the versions of rebuilt collections that `meta` no longer names; to be run when no reader of them is left."""
+        gone = [f"{self._table(old)}/collection={c}" for c, v in self._versions().items() for old in range(v)]
+        for folder in gone:
+            self._delete(folder)
+        return gone
+
+    def sync(self, collection: str, desired: DataFrame, new: DataFrame, new_times: DataFrame | None = None) -> dict:
         """Make the cube hold exactly the desired dates that either side can supply.
 
-        Kept dates are not rewritten. An empty desired set is refused, as is a sync that would
+        Kept dates are not rewritten, and of `new` only the dates to add are read: they are literals in its filter, so they prune files and
+        row groups. Without `new_times` the offered times are those of `new`. An empty desired set is refused, as is a sync that would
         leave nothing.
         """
         want = set(self._dates(desired))
@@ -316,16 +327,27 @@ class Cube:
             raise RuntimeError("the desired dates are empty; refusing to drop every slice")
         held = self.slices().where(F.col("collection") == collection)
         have = set(self._dates(held))
-        offered = set(self._dates(new_times.withColumn("acq_date", F.to_date("acq_time"))))
+        new = self._of_dates(new, want - have)
+        times = self._of_dates(new_times, want - have) if new_times is not None else new.select("collection", "acq_time").distinct()
+        offered = set(self._dates(times.withColumn("acq_date", F.to_date("acq_time"))))
         add, drop = sorted((want - have) & offered), sorted(have - want)
         if not (want & have) and not add:
             raise RuntimeError("nothing to write: no desired date is held or offered")
         if add:
-            picked = new_times.where(F.to_date("acq_time").isin(add))
-            self.write_slices(new, picked)
+            self.write_slices(new, times)
         self.drop_dates(collection, drop)
         return {"added": add, "dropped": drop, "kept": sorted(want & have)}
 
+    @staticmethod
+    def _of_dates(rows: DataFrame, dates: set) -> DataFrame:
+        """Rows of some dates, by literals that reach the scan; by the partition column too where there is one."""
+        if not dates:
+            return rows.limit(0)
+        end = max(dates) + timedelta(days=1)
+        rows = rows.where((F.col("acq_time") >= F.lit(min(dates)).cast("timestamp")) & (F.col("acq_time") < F.lit(end).cast("timestamp"))
+                          & F.to_date("acq_time").isin(sorted(dates)))
+        return rows.where(F.col("acq_date").isin(sorted(dates))) if "acq_date" in rows.columns else rows
+
     def retain(self, collection: str, n: int) -> list:
         """Drop all but the n newest dates that have slices; n <= 0 keeps all."""
         held = self.slices().where(F.col("collection") == collection)

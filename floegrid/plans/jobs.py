@@ -129,5 +129,4 @@ def cube_sync(cube: Cube, collection: str, listing: DataFrame, cells: DataFrame)
     One object per date stands for the date; only dates that are missing are read from `cells`.
     """
     picked = D.pick_per_date(listing.where(F.col("collection") == collection), "key", "ord")
-    times = cells.where(F.col("collection") == collection).select("collection", "acq_time").distinct()
-    return cube.sync(collection, picked, cells, times)
+    return cube.sync(collection, picked, cells.where(F.col("collection") == collection))

@@ -445,3 +445,66 @@ def calibration_annotations(spark: SparkSession, sf_dir: str) -> DataFrame:
      .write.partitionBy("granule").text(path))
     found = scan_calibration_lut(spark, f"{path}/*/*.txt")
     return found.select(F.regexp_replace("granule", "^granule=", "").alias("granule"), "calibration", "line", "pixel", "k")
+
+
+_POLLS = 6
+_POLLED = f"""
+WITH {cte('listing_b')},
+e AS (SELECT acq_date, collection, ord, ts FROM listing_b JOIN events ON event_id = ord),
+b AS (SELECT min(acq_date) AS first, datediff('day', min(acq_date), max(acq_date)) + 1 AS days FROM e),
+p AS (SELECT e.*, least(datediff('day', first, acq_date) * {_POLLS} // days + CASE WHEN ord % 10 = 0 THEN 2 ELSE 0 END, {_POLLS - 1}) AS poll FROM e, b),
+m AS (SELECT k AS poll, (SELECT max(ts) - INTERVAL 1 DAY FROM p WHERE p.poll < k) AS mark FROM (SELECT unnest(range({_POLLS})) AS k)),
+kept AS (SELECT p.* FROM p JOIN m USING (poll) WHERE mark IS NULL OR CAST(acq_date AS TIMESTAMP) + INTERVAL 1 DAY > mark)
+"""
+
+
+@query("stream_late_counts", _POLLED + """
+SELECT acq_date, collection, count(*) AS n FROM kept WHERE CAST(acq_date AS TIMESTAMP) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM p)
+GROUP BY acq_date, collection""")
+def late_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six polls of a listing, each of which goes on from the checkpoint of the one before; every tenth row comes two polls late.
+
+    Rows whose day the watermark of the earlier polls has closed are dropped; rows that are late but not too late count.
+    """
+    rows = read_table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("ts"), F.to_date("ts").alias("day"), "event_type", "event_id")
+    span = rows.agg(F.struct(F.min("day").alias("first"), (F.datediff(F.max("day"), F.min("day")) + 1).alias("days"))).scalar()
+    late = F.when(F.col("event_id") % 10 == 0, 2).otherwise(0)
+    turn = F.floor(F.datediff("day", span["first"]) * _POLLS / span["days"]).cast("int")
+    polls = rows.withColumn("poll", F.least(turn + late, F.lit(_POLLS - 1)))
+    out = scratch(spark, "polls")
+    polls.select("ts", "event_type", "poll").write.partitionBy("poll").parquet(f"{out}/source")
+    schema = "ts timestamp, event_type string"
+    for k in range(_POLLS):
+        spark.read.schema(schema).parquet(f"{out}/source/poll={k}").write.mode("append").parquet(f"{out}/in")
+        events = spark.readStream.schema(schema).parquet(f"{out}/in").select("ts", F.col("event_type").alias("collection"))
+        counts = stream_daily_counts(events, ["collection"], "1 day", "ts")
+        (counts.writeStream.format("parquet").option("path", f"{out}/data").option("checkpointLocation", f"{out}/ck")
+         .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+    return spark.read.schema(counts.schema).parquet(f"{out}/data")
+
+
+@query("stream_lod_tiers", f"""
+WITH {cte('wind_b')},
+g AS (SELECT i // 76 AS r, i % 76 AS c FROM (SELECT unnest(range(8512)) AS i)),
+d AS (SELECT DISTINCT acq_date FROM wind_b),
+p AS (SELECT acq_date, r, c FROM d, g WHERE day(acq_date) % 3 = 0
+  UNION SELECT acq_date, row_, col_ FROM wind_b WHERE day(acq_date) % 3 <> 0),
+t AS (SELECT unnest([16, 8, 4, 1]) AS tier)
+SELECT acq_date, CAST(tier AS INTEGER) AS tier, count(*) AS n,
+  CAST(max(((r // tier) * CAST(ceil(76.0 / tier) AS BIGINT) + c // tier) // 500) AS BIGINT) AS last_chunk
+FROM p, t WHERE r % tier = 0 AND c % tier = 0 AND (tier = 1 OR day(acq_date) % 3 = 0) GROUP BY acq_date, tier""")
+def lod_tiers_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the dates fill their grid, but only once the last of several micro-batches has come; these have thinned tiers too."""
+    rows = bind(spark, sf_dir, "wind_b")
+    days = rows.select("acq_date").distinct().where("day(acq_date) % 3 = 0")
+    full = days.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(8511)))).selectExpr(
+        "acq_date", "int(i div 76) AS row", "int(i % 76) AS col")
+    seen = rows.where("day(acq_date) % 3 <> 0").select("acq_date", F.col("row_").alias("row"), F.col("col_").alias("col")).distinct()
+    points = full.unionByName(seen)
+    src, out = scratch(spark, "points"), scratch(spark, "tiers")
+    points.repartition(4, F.xxhash64("row", "col")).write.parquet(src)
+    stream = spark.readStream.schema(points.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    stream_lod(stream, out, f"{out}/ck", _SHAPE, size=500).awaitTermination()
+    return (spark.read.parquet(f"{out}/tiers").groupBy("acq_date", "tier")
+            .agg(F.count(F.lit(1)).alias("n"), F.max("chunk").alias("last_chunk")))

@@ -113,6 +113,33 @@ def test_a_second_raster_of_one_time_is_merged(spark, cube):
     assert content(cube) == [("2024-01-01", 0, 0, 5.0), ("2024-01-01", 1, 1, 6.0), ("2024-01-01", 3, 3, 2.0)]
 
 
+def test_readers_of_a_version_outlive_a_rebuild(spark, cube):
+    """A frame planned before a rebuild still reads its files; `vacuum` removes them later."""
+    a = raster(spark, [("a", "2024-01-01", 1, 0.0, 0.0, 40.0, 40.0, 10.0)])
+    cube.upsert("c", a, raw(spark, [("a", 0, 0, 1.0)]))
+    before = cube.data().select("row", "col", "value")
+    before.count()
+    far = raster(spark, [("x", "2024-01-03", 1, -20.0, 0.0, 20.0, 60.0, 10.0)])
+    assert cube.upsert("c", far, raw(spark, [("x", 0, 0, 9.0)])) == "rebuild"
+    assert [tuple(r) for r in before.collect()] == [(0, 0, 1.0)]
+    assert cube.data().count() == 2 and cube.meta().head()["source_files_count"] == 2
+    assert cube.vacuum() == ["data/collection=c"] and cube.data().count() == 2
+
+
+def test_sync_reads_only_the_dates_to_add(spark, cube, tmp_path):
+    """The dates are literals in the filter of what is offered, so they reach its scan."""
+    days = [f"2024-01-{d:02d}" for d in range(1, 21)]
+    cells(spark, [(d, 0, 0, 7.0) for d in days]).write.parquet(str(tmp_path / "new"))
+    offered = spark.read.parquet(str(tmp_path / "new"))
+    cube.write_slices(offered.where("day(acq_time) <= 18"), offered.where("day(acq_time) <= 18").select("collection", "acq_time"))
+    picked = cube._of_dates(offered, {date(2024, 1, 19), date(2024, 1, 20)})
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    assert ">= 2024-01-19 00:00:00" in plan and "PushedFilters" in plan and "LessThan(acq_time,2024-" in plan
+    want = spark.createDataFrame([(d,) for d in days], "d string").select(F.to_date("d").alias("acq_date"))
+    done = cube.sync("c", want, offered)
+    assert [d.day for d in done["added"]] == [19, 20] and cube.data().count() == 20
+
+
 def test_a_rebuild_that_fails_can_be_repeated(spark, cube, monkeypatch):
     """Stored cells move once, however often the rebuild is tried."""
     a = raster(spark, [("a", "2024-01-01", 1, 0.0, 0.0, 40.0, 40.0, 10.0)])
