@@ -50,21 +50,25 @@ def perspectives(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     the assistant's characters in the whole dialogue.
     """
     placed = placed_turns(turns)
-    # `conv_id` is one value in a dialogue, so grouping by it changes nothing.
-    blocks = (placed.groupBy("dialogue", "conv_id", F.floor(F.col("place") / block).alias("block"))
-              .agg(F.array_sort(F.collect_list(F.struct("place", "name", "text"))).alias("t")))
-    people = placed.where(F.col("name") != SYSTEM).select("dialogue", F.col("name").alias("speaker")).distinct()
+    # `conv_id` is one value in a dialogue, so grouping by it changes nothing. Written, as lengths and texts are read apart.
+    blocks = cut(placed.groupBy("dialogue", "conv_id", F.floor(F.col("place") / block).alias("block"))
+                 .agg(F.array_sort(F.collect_list(F.struct("place", "name", "text"))).alias("t")))
     head = f"""CASE WHEN x.name = '{SYSTEM}' THEN '<|system|>\\n' WHEN x.name = speaker THEN '<|assistant|>\\n'
                ELSE concat('<|user name=', x.name, '|>\\n') END"""
     pieces = F.expr(f"transform(t, x -> struct({head} AS head, concat(x.text, '{END}') AS body, x.name = speaker AS own))")
     rendered = F.expr("array_join(transform(p, x -> concat(x.head, x.body)), '')")
-    turned = blocks.join(people, "dialogue")
-    # Only the lengths of blocks go through the window, which has all blocks of a speaker in one task.
-    keys = ["dialogue", "speaker", "block"]
-    lengths = turned.withColumn("p", pieces).select(*keys, F.length(rendered).cast("long").alias("_n"))
+    # Lengths follow without the texts: every block's as if all its turns were users', less what a speaker's own turns save.
+    plain = f"""aggregate(t, 0L, (n, x) -> n + length(x.text) + {len(END)} + if(x.name = '{SYSTEM}', {len(SYSTEM) + 5}, length(x.name) + 15))"""
+    whole = blocks.select("dialogue", "block", F.expr(plain).alias("_n"))
+    own = (blocks.select("dialogue", "block", F.explode(F.transform("t", lambda x: x["name"])).alias("speaker")).where(F.col("speaker") != SYSTEM)
+           .groupBy("dialogue", "block", "speaker").agg(F.count(F.lit(1)).alias("_own")))
+    lengths = (whole.join(own.select("dialogue", "speaker").distinct(), "dialogue").join(own, ["dialogue", "block", "speaker"], "left")
+               .withColumn("_n", F.col("_n") - F.coalesce("_own", F.lit(0)) * (F.length("speaker") + 1)))
     before = Window.partitionBy("dialogue", "speaker").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = lengths.select(*keys, F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long").alias("start_char"))
-    counted = (turned.join(starts, keys).withColumn("p", pieces)
+    starts = lengths.select("dialogue", "block", "speaker", F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("long").alias("start_char"))
+    # Texts move once, before they are turned for each speaker.
+    keys = ["dialogue", "speaker", "block"]
+    counted = (blocks.join(starts, ["dialogue", "block"]).withColumn("p", pieces)
                .select("conv_id", *keys, F.size("p").cast("long").alias("n_turns"), "p", rendered.alias("rendered"), "start_char"))
     spans = F.expr("""aggregate(p, struct(start_char AS at, cast(array() AS array<string>) AS spans, 0L AS n), (s, x) -> struct(
         s.at + length(x.head) + length(x.body) AS at,
