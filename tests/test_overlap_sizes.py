@@ -12,3 +12,20 @@ def test_sides_of_the_cell_join_are_not_broadcast(spark):
     final = plan[:plan.index("== Initial Plan ==")]
     joins = [line for line in final.splitlines() if "Join [_ka" in line]
     assert joins and all("SortMergeJoin" in line for line in joins)
+
+
+def test_metrics_by_satellite_equal_the_rounded_pairs(spark):
+    """Maxima that are rounded once are those of rounded pairs; pairs with fractions of a km2 and of an hour."""
+    from pyspark.sql import functions as F
+
+    from floegrid.operators.overlap import metrics_by, overlap_metrics
+    pairs = spark.range(200).selectExpr(
+        "id % 3 AS k", "date'2024-01-01' AS date_a", "date_add(date'2024-01-01', int(id % 7)) AS date_b",
+        "timestamp'2024-01-01 00:00:00' AS start_a", "timestamp_seconds(1704067200 + id * 997) AS start_b",
+        "100 + id / 7 AS area_a_km2", "IF(id % 50 = 0, 0, 90 + id / 11) AS area_b_km2", "50 + id / 13 AS intersect_km2")
+    got = metrics_by(pairs, "k").orderBy("k").collect()
+    want = overlap_metrics(pairs).groupBy("k").agg(
+        F.count(F.lit(1)).alias("n_pairs"), F.min("day_diff").alias("min_day_diff"), F.max("day_diff").alias("max_day_diff"),
+        F.sum("intersect_km2").cast("long").alias("total_km2"),
+        *[F.max(c).alias(f"max_{c}") for c in ("iou", "frac_of_a", "frac_of_b", "dt_hours")]).orderBy("k").collect()
+    assert got == want and len(got) == 3
