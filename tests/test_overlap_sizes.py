@@ -29,3 +29,8 @@ def test_metrics_by_satellite_equal_the_rounded_pairs(spark):
         F.sum("intersect_km2").cast("long").alias("total_km2"),
         *[F.max(c).alias(f"max_{c}") for c in ("iou", "frac_of_a", "frac_of_b", "dt_hours")]).orderBy("k").collect()
     assert got == want and len(got) == 3
+
+
+def test_rings_are_not_shuffled_with_the_footprint_pairs(spark):
+    plan = load_all()["overlap_footprints"][0](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("overlap_parts")
