@@ -106,6 +106,7 @@ def warp(cells: DataFrame, src: Grid, dst: Grid, method: str = "bilinear",
 
 
 LUT_KEYS = ("granule", "polarization", "calibration")
+SLOTS = 64
 
 
 def lut_cells(lut: DataFrame, keys: Sequence[str] = LUT_KEYS) -> DataFrame:
@@ -133,7 +134,8 @@ def lut_join(pixels: DataFrame, lut: DataFrame, height: int, width: int,
     """Pixels with the bilinear `k` of each calibration table of their granule.
 
     A range join made equal: every table cell is repeated for the pixel blocks it covers, and
-    pixels look up their block. Outer cells reach to the image edge, so pixels beyond the
+    pixels look up their block. A table stands in every one of SLOTS places and a pixel, by its position, in one, so the pixels of
+    a few granules and blocks are shared by many tasks. Outer cells reach to the image edge, so pixels beyond the
     samples extrapolate linearly.
     """
     cells = lut_cells(lut, keys)
@@ -147,8 +149,10 @@ def lut_join(pixels: DataFrame, lut: DataFrame, height: int, width: int,
                                                      F.floor((F.col("_r1") - 1) / block))))
              .withColumn("_bc", F.explode(F.sequence(F.floor(F.col("_c0") / block),
                                                      F.floor((F.col("_c1") - 1) / block))))
+             .withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))))
              .drop("_top", "_bottom", "_left", "_right"))
-    looked = pixels.withColumns({"_br": F.floor(F.col("row") / block), "_bc": F.floor(F.col("col") / block)})
+    looked = pixels.withColumns({"_br": F.floor(F.col("row") / block), "_bc": F.floor(F.col("col") / block),
+                                 "_slot": F.pmod(F.xxhash64("row", "col"), F.lit(SLOTS)).cast("int")})
     inside = ((F.col("row") >= F.col("_r0")) & (F.col("row") < F.col("_r1"))
               & (F.col("col") >= F.col("_c0")) & (F.col("col") < F.col("_c1")))
     fy = (F.col("row") - F.col("line")) / (F.col("line1") - F.col("line"))
@@ -156,7 +160,7 @@ def lut_join(pixels: DataFrame, lut: DataFrame, height: int, width: int,
     k = bilinear(F.col("k00"), F.col("k01"), F.col("k10"), F.col("k11"), fy, fx)
     on = [c for c in keys if c in pixels.columns]
     extra = [c for c in keys if c not in pixels.columns]
-    return (looked.join(keyed, [*on, "_br", "_bc"]).where(inside)
+    return (looked.join(keyed, [*on, "_br", "_bc", "_slot"]).where(inside)
             .select(*pixels.columns, *extra, k.alias("k")))
 
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
+from floegrid.operators import warp as W
 from floegrid.queries import load_all
 from tests.test_queries import SF, TABLES, rows
 
@@ -33,3 +35,19 @@ def test_tiers_of_a_date_that_events_fill(spark, tmp_path):
     compare(spark, tmp_path, "stream_lod_tiers", events="""
         SELECT e.* REPLACE (i % 112 AS event_id, i // 112 AS user_id, d AS ts)
         FROM (FROM events LIMIT 1) e, range(8512) t(i), (VALUES (TIMESTAMP '2024-01-02'), (TIMESTAMP '2024-01-03')) v(d)""")
+
+
+def test_pixels_of_one_granule_are_shared_by_tasks(spark):
+    """The calibration table of one granule and one block is looked up in many partitions."""
+    lut = (spark.range(12).selectExpr("'g' AS granule", "'hh' AS polarization", "'sigma0' AS calibration", "int(id div 4) * 10 AS line",
+                                      "int(id % 4) * 7 AS pixel").withColumn("k", (100 + 2 * F.col("line") + 3 * F.col("pixel")).cast("double")))
+    px = spark.range(1600).selectExpr("'g' AS granule", "int(id div 40) AS row", "int(id % 40) AS col")
+    off = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for key, value in off.items():
+        spark.conf.set(key, value)
+    try:
+        parts = W.lut_join(px, lut, 40, 40).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(n for _, n in parts) == 1600 and max(n for _, n in parts) < 800
