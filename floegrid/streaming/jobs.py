@@ -21,9 +21,13 @@ from floegrid.sources.granules import GRANULE_PAGE, granule_rows
 
 
 def stream_granules(spark: SparkSession, path: str, glob: str | None = None,
-                    files_per_batch: int | None = None) -> DataFrame:
-    """Granule rows of new catalogue page files as they appear."""
-    reader = spark.readStream.schema(GRANULE_PAGE).option("multiLine", "true")
+                    files_per_batch: int | None = None, lines: bool = False) -> DataFrame:
+    """Granule rows of new catalogue page files as they appear.
+
+    A file is one page, or with `lines` any number of pages, one on each line. Very many pages should come as lines: the stream
+    lists, logs and opens every file.
+    """
+    reader = spark.readStream.schema(GRANULE_PAGE).option("multiLine", str(not lines).lower())
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(files_per_batch))
     return granule_rows(reader.json(path), glob)

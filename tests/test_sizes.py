@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import duckdb
 import pytest
 from pyspark.sql import functions as F
@@ -72,3 +74,18 @@ def test_stored_cube_reads_its_table_once(spark, tmp_path):
     assert cube.upsert("c", rasters.mapInPandas(seen, rasters.schema), cells) == "fresh"
     assert made.value == 2
     assert sorted((r["row"], r["col"], r["value"]) for r in cube.data().collect()) == [(1, 0, 0.0), (1, 1, 1.0)]
+
+
+def test_granule_pages_are_in_few_files(spark, tmp_path):
+    """Twenty pages and more are streamed from no more files than there are partitions."""
+    root = spark.sparkContext._jsc.sc().getCheckpointDir()
+    root = root.get().removeprefix("file:") if root.isDefined() else spark.conf.get("spark.checkpoint.dir")
+
+    def folders():
+        return {os.path.join(base, d) for base, dirs, _ in os.walk(root) for d in dirs if d.startswith("pages-")}
+    before = folders()
+    compare(spark, tmp_path, "stream_granules", orders="SELECT * REPLACE (o_orderkey + i * 1000000 AS o_orderkey) FROM orders, range(20) t(i)")
+    new, = folders() - before
+    files = [f for f in os.listdir(new) if f.startswith("part-")]
+    assert 4 <= len(files) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sum(line.startswith(b'{"items":[') for f in files for line in open(os.path.join(new, f), "rb")) >= 20
