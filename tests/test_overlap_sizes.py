@@ -34,3 +34,35 @@ def test_metrics_by_satellite_equal_the_rounded_pairs(spark):
 def test_rings_are_not_shuffled_with_the_footprint_pairs(spark):
     plan = load_all()["overlap_footprints"][0](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Join Inner") < plan.index("overlap_parts")
+
+
+def above_join(frame) -> str:
+    """The physical plan from the result down to the join of the granules."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return plan[:plan.index("SortMergeJoin")]
+
+
+def test_flagship_pairs_are_exchanged_once_and_tested_without_rounding(spark):
+    found = load_all()["overlap_flagship"][0](spark, SF)
+    assert above_join(found).count("Exchange") == 1
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    join = plan[plan.index("SortMergeJoin"):].splitlines()[0]
+    assert ">= 0.0999995" in join and "round(" not in join
+
+
+def test_iou_test_equals_the_rounded_iou(spark):
+    """Values on both sides of where rounding to six digits reaches the threshold, and a pair without area."""
+    from pyspark.sql import functions as F
+
+    from floegrid.operators.overlap import overlap_metrics, reaches_iou
+    shares = [0.0, 0.0999994, 0.09999949999999999, 0.0999995, 0.09999950000000001, 0.0999999, 0.1, 0.25, 0.2500004, 0.2500005, 0.3, 1.0]
+    pairs = spark.createDataFrame([(s, 1.0) for s in shares] + [(0.0, 0.0)], "inter double, total double").select(
+        F.lit("2024-01-01").cast("date").alias("date_a"), F.lit("2024-01-01").cast("date").alias("date_b"),
+        F.lit(0).cast("timestamp").alias("start_a"), F.lit(0).cast("timestamp").alias("start_b"),
+        (F.col("total") / 2 + F.col("inter") / 2).alias("area_a_km2"), (F.col("total") / 2 + F.col("inter") / 2).alias("area_b_km2"),
+        F.col("inter").alias("intersect_km2"))
+    union = F.col("area_a_km2") + F.col("area_b_km2") - F.col("intersect_km2")
+    for least in (0.1, 0.25, 0.2500001, 0.7):
+        tested = pairs.withColumn("passes", reaches_iou(F.col("intersect_km2"), union, least))
+        rows = overlap_metrics(tested).select("passes", (F.col("iou") >= least).alias("want")).collect()
+        assert len(rows) == 13 and all(r["passes"] == r["want"] for r in rows)
