@@ -66,3 +66,12 @@ def test_iou_test_equals_the_rounded_iou(spark):
         tested = pairs.withColumn("passes", reaches_iou(F.col("intersect_km2"), union, least))
         rows = overlap_metrics(tested).select("passes", (F.col("iou") >= least).alias("want")).collect()
         assert len(rows) == 13 and all(r["passes"] == r["want"] for r in rows)
+
+
+def test_pairs_are_exchanged_once_and_without_metrics(spark):
+    found = load_all()["overlap_pairs"][0](spark, SF)
+    plan = above_join(found)
+    assert plan.count("Exchange") == 1
+    assert "frac_of_a" in plan[:plan.index("Exchange")] and "frac_of_a" not in plan[plan.index("Exchange"):]
+    keys = [(-r["intersect_km2"], r["granule_a"], r["granule_b"]) for r in found.collect()]
+    assert len(keys) > 100 and keys == sorted(keys)
