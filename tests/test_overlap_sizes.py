@@ -75,3 +75,27 @@ def test_pairs_are_exchanged_once_and_without_metrics(spark):
     assert "frac_of_a" in plan[:plan.index("Exchange")] and "frac_of_a" not in plan[plan.index("Exchange"):]
     keys = [(-r["intersect_km2"], r["granule_a"], r["granule_b"]) for r in found.collect()]
     assert len(keys) > 100 and keys == sorted(keys)
+
+
+def test_index_read_stores_only_the_pairs_asked_for(spark, monkeypatch):
+    from floegrid.queries import flows
+    written = []
+
+    def write(overlaps, path, **options):
+        written.append((above_join(overlaps), overlaps.count()))
+        return flows_write(overlaps, path, **options)
+    flows_write = flows.write_overlaps
+    monkeypatch.setattr(flows, "write_overlaps", write)
+    found = load_all()["overlap_index_read"][0](spark, SF).collect()
+    [(plan, stored)] = written
+    assert stored == len(found) > 0 and "Exchange" not in plan
+
+
+def test_index_of_one_day_difference_is_written_without_an_exchange(spark, tmp_path):
+    from floegrid.sources.sinks import read_overlaps, write_overlaps
+    pairs = spark.range(0, 1000, 1, 4).selectExpr("id AS granule_a", "id + 1 AS granule_b", "4S AS day_diff",
+                                                  "double(id * 7919 % 1000) AS intersect_km2", "id / 1000D AS iou")
+    write_overlaps(pairs, str(tmp_path / "index"), group_bytes=1 << 17, cluster=False)
+    back = read_overlaps(spark, str(tmp_path / "index"), day_diff=4, min_iou=0.2)
+    assert {r["granule_a"] for r in back.collect()} == set(range(200, 1000))
+    assert len(list((tmp_path / "index").glob("*.parquet"))) == 4
