@@ -99,3 +99,28 @@ def test_index_of_one_day_difference_is_written_without_an_exchange(spark, tmp_p
     back = read_overlaps(spark, str(tmp_path / "index"), day_diff=4, min_iou=0.2)
     assert {r["granule_a"] for r in back.collect()} == set(range(200, 1000))
     assert len(list((tmp_path / "index").glob("*.parquet"))) == 4
+
+
+def test_footprints_ride_packed_and_come_back_the_same(spark):
+    """Several rings, one ring, no ring and null."""
+    import numpy as np
+    import pyarrow as pa
+
+    from floegrid.functions.clip import POINT, unpacked, packed_parts
+    shapes = [[[(0.5, 1.0), (2.0, -3.25), (0.5, 1.0)], [(1e7, -1e-9)]], [[(1.0, 2.0), (3.0, 4.0)]], [], None, [[(1.0, 2.0), (3.0, 4.0)]]]
+    column = pa.array([s and [[dict(x=x, y=y) for x, y in r] for r in s] if s is not None else None for s in shapes],
+                      pa.list_(pa.list_(POINT)))
+    back = list(unpacked(packed_parts.func(column)))
+    assert back[3] is None and len(back) == 5
+    assert [s if s is None else [np.asarray(r).tolist() for r in s] for s in back] == [
+        s if s is None else [[list(p) for p in r] for r in s] for s in shapes]
+
+
+def test_crowded_cells_do_not_shuffle_the_sides_again(spark):
+    """Each side of the cell join is exchanged once, whatever its size is taken to be."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = load_all()["overlap_exact_clip"][0](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 1 and plan.count("BroadcastHashJoin") == 2
